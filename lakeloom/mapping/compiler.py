@@ -30,30 +30,50 @@ def map_events(envelopes: DataFrame, mapping: Mapping, *, keep=()) -> DataFrame:
         "envelope_errors",
         *([typed_body(mapping).alias("typed")] if mapping.fields else []),
     )
-    scope = Scope(F.col("typed"), F.col("body"))
-    fields = [column.alias(name) for f in mapping.fields for name, column in f.columns(scope)]
-    problems = [problem for f in mapping.fields for problem in f.errors(scope)]
-    group_id = F.col("group_id")
-    if mapping.group_id_from_body:
-        group_id = F.try_variant_get("body", "$.id", "string")
-        problems.append(F.when(~has_key(F.col("body"), "$.id"), F.lit("missing: id")))
-    errors = F.col("envelope_errors")
-    if problems:
-        errors = F.concat(errors, F.array_compact(F.array(*problems)))
+    fields, errors, group_id = compiled(mapping)
     return typed.select(
         *keep,
         "user_id",
-        group_id.alias("group_id"),
+        group_id,
         "call_time",
         "pub_sub_event_id",
         F.year("call_ts").alias("date_year"),
         F.month("call_ts").alias("date_month"),
         *([F.col("args").alias("pub_sub_args")] if mapping.keeps_args else []),
         *fields,
-        errors.alias("_errors"),
+        errors,
     )
 
 
+_COMPILED: dict[str, tuple[Mapping, list[Column], Column, Column]] = {}
+
+
+def compiled(mapping: Mapping) -> tuple[list[Column], Column, Column]:
+    """Field columns, error column and group id column of a mapping.
+
+    The columns are unresolved expressions, so they are built once per mapping and
+    reused by every job of the process: large mappings hold thousands of them.
+    """
+    known = _COMPILED.get(mapping.name)
+    if known is None or known[0] is not mapping:
+        known = _COMPILED[mapping.name] = (mapping, *_compile(mapping))
+    return known[1:]
+
+
+def _compile(mapping: Mapping) -> tuple[list[Column], Column, Column]:
+    scope = Scope(F.col("typed"), F.col("body"))
+    fields = [column.alias(name) for f in mapping.fields for name, column in f.columns(scope)]
+    problems = [problem for f in mapping.fields for problem in f.errors(scope)]
+    group_id = F.col("group_id")
+    if mapping.group_id_from_body:
+        group_id = F.try_variant_get("body", "$.id", "string")
+        problems.append(F.when(~has_key(F.col("body"), "$.id"), F.lit("missing: id")))
+    errors = F.col("envelope_errors")
+    if problems:
+        errors = F.concat(errors, F.array_compact(F.array(*problems)))
+    return fields, errors.alias("_errors"), group_id.alias("group_id")
+
+
 def typed_body(mapping: Mapping) -> Column:
     return F.try_variant_get("body", "$", mapping.body_type())
 
