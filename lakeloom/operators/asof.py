@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeloom.functions.times import hour_of
 from lakeloom.operators.spine import HOUR, hours_between
+from lakeloom.session import spread
 
 LOOKBACK_HOURS = 48
 
@@ -56,6 +57,7 @@ def point_timeline(
     latest = usable.groupBy(*keys, "from_hour").agg(
         F.max_by("point", "rank").alias("point"), F.max(F.col("rank.last_use")).alias("last_use")
     )
+    latest = spread(latest, keys[0])
     in_order = Window.partitionBy(*keys).orderBy("from_hour")
     following = F.lead("from_hour").over(in_order)
     served = latest.select(
@@ -106,20 +108,3 @@ def asof_hours(spans: DataFrame, timeline: DataFrame, on: list[str], *, into: st
     return matched.select(
         *[F.col(f"s.{c}") for c in kept], F.col("t.point"), F.explode(hours_between(first, last)).alias(into)
     )
-
-
-def asof_join(hours: DataFrame, points: DataFrame, on: list[str], hour: str, ts: str, order: list[str], *, lookback_hours: int = LOOKBACK_HOURS) -> DataFrame:
-    """The same as-of rule as a plain range join, for hours that exist as rows already.
-
-    Every hour meets all points of its window, so prefer :func:`asof_hours` where
-    an entity may have many points.
-    """
-    h, p = hours.alias("h"), points.alias("p")
-    last_instant = F.col(f"h.{hour}") + F.expr("INTERVAL '59:59.999999' MINUTE TO SECOND")
-    condition = [F.col(f"h.{k}") == F.col(f"p.{k}") for k in on]
-    condition.append(F.col(f"p.{ts}") < last_instant)
-    condition.append(F.col(f"p.{ts}") > F.col(f"h.{hour}") - F.make_dt_interval(F.lit(0), F.lit(lookback_hours)))
-    carried = [c for c in points.columns if c not in on]
-    joined = h.join(p, condition, "left")
-    latest = F.max_by(F.struct(*[F.col(f"p.{c}") for c in carried]), F.struct(*[F.col(f"p.{c}") for c in order]))
-    return joined.groupBy(*[F.col(f"h.{c}") for c in hours.columns]).agg(latest.alias("point"))

@@ -53,12 +53,12 @@ def number_rows(rows: DataFrame, keys: list[str], bucket: Column, order: list[st
     tagged = rows.withColumn("_bucket", bucket)
     sizes = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    starts = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")).alias("s")
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    ranked = tagged.withColumn("_rank", F.row_number().over(inside))
-    same = [ranked[k].eqNullSafe(starts[k]) for k in [*keys, "_bucket"]]
+    ranked = tagged.withColumn("_rank", F.row_number().over(inside)).alias("r")
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, "_bucket"]]
     return ranked.join(starts, same, "left").select(
-        *[ranked[c] for c in rows.columns], (F.col("_start") + F.col("_rank")).alias(into)
+        *[F.col(f"r.{c}") for c in rows.columns], (F.col("_start") + F.col("_rank")).alias(into)
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeloom.functions.times import SPINE_FLOOR, Period, clamp, hour_of, ts_literal
+from lakeloom.session import spread
 
 HOUR = "INTERVAL 1 HOUR"
 
@@ -38,10 +39,12 @@ def disjoint_spans(spans: DataFrame, keys: list[str], carry: list[str] = ()) ->
 
     Spans that start in the same hour are reduced to the longest one first, so a key
     has at most one row per hour of the period, whatever the number of its copies.
+    The result is spread by the first key, ready to be expanded to hours.
     """
     longest = spans.groupBy(*keys, "first_hour").agg(
         F.max(F.struct("last_hour", *carry)).alias("longest")
     )
+    longest = spread(longest, keys[0])
     before = Window.partitionBy(*keys).orderBy("first_hour").rowsBetween(Window.unboundedPreceding, -1)
     covered = F.max(F.col("longest.last_hour")).over(before)
     from_hour = F.coalesce(F.greatest(F.col("first_hour"), covered + F.expr(HOUR)), F.col("first_hour"))

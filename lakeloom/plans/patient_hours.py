@@ -80,17 +80,19 @@ def patient_hours(
     period: Period,
     now: Column,
     lookback_days: int = 0,
+    survivor: list[str] = (),
 ) -> DataFrame:
     """The whole job up to its flat output.
 
     ``points``, ``weather`` and ``air`` are partitioned by month. ``lookback_days=2``
     also reads the points at the end of the month before; 0 leaves the first two days
-    of a month to the fallback when there is no point yet.
+    of a month to the fallback when there is no point yet. ``survivor`` names the
+    columns that decide between duplicate hours of a location.
     """
     year, month = period.year, period.month
     timeline = location_timeline(read_months(points, year, month, lookback_days=lookback_days))
     hours = located_hours(patient_spans(patients, period, now), timeline)
-    environment = environmental_hours(read_month(weather, year, month), read_month(air, year, month))
+    environment = environmental_hours(read_month(weather, year, month), read_month(air, year, month), order=survivor)
     return shape(with_environment(hours, environment))
 
 

@@ -1 +1,6 @@
 """Queries registered with the driver and their SQL checks."""
+
+from lakeloom.queries import curated, ingest, matching
+from lakeloom.queries.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "curated", "ingest", "matching"]

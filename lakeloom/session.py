@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What every job expects of its session.
 DEFAULTS = {
@@ -46,6 +46,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition rows that are about to multiply.
+
+    Adaptive execution merges small partitions by the bytes it sees before an
+    expansion, which would leave the expansion to a few tasks. A stated number of
+    partitions is left alone, and joins and windows on the keys reuse it.
+    """
+    spark = rows.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(wanted, spark.sparkContext.defaultParallelism), *keys)
+
+
 @functools.cache
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="lakeloom-")
