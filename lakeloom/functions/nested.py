@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def compute_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that many later expressions use, evaluated once per row.
+
+    A plain column would be copied into every later filter that the optimizer moves
+    below it, and parsed again for each use. Filters do not move below a generator.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
 def has_key(value: Column, path: str) -> Column:
@@ -15,6 +24,24 @@ def holds_value(value: Column, path: str) -> Column:
     return has_key(value, path) & ~F.is_variant_null(F.try_variant_get(value, path, "variant"))
 
 
+def objects(value: Column, path: str) -> Column:
+    """The array at a path as VARIANT elements."""
+    return F.try_variant_get(value, path, "array<variant>")
+
+
+def lacks_any(value: Column, *keys: str) -> Column:
+    """True if one of the keys is missing from an object; a JSON null counts as there."""
+    missing = ~has_key(value, f"$.{keys[0]}")
+    for key in keys[1:]:
+        missing = missing | ~has_key(value, f"$.{key}")
+    return missing
+
+
+def some_lack(value: Column, path: str, *keys: str) -> Column:
+    """True if an object of the array at a path misses one of the keys."""
+    return F.coalesce(F.exists(objects(value, path), lambda item: lacks_any(item, *keys)), F.lit(False))
+
+
 def first_of(value: Column, target: str, *paths: str) -> Column:
     """Typed value at the first path that holds one (renamed fields of older senders)."""
     return F.coalesce(*[F.try_variant_get(value, path, target) for path in paths])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeloom.functions.nested import has_key
+from lakeloom.functions.nested import compute_once, has_key
 from lakeloom.functions.times import iso_ms
 from lakeloom.mapping.spec import Mapping, Scope
 
@@ -28,8 +28,9 @@ def map_events(envelopes: DataFrame, mapping: Mapping, *, keep=()) -> DataFrame:
         "args",
         "body",
         "envelope_errors",
-        *([typed_body(mapping).alias("typed")] if mapping.fields else []),
     )
+    if mapping.fields:
+        typed = compute_once(typed, "typed", typed_body(mapping))
     fields, errors, group_id = compiled(mapping)
     return typed.select(
         *keep,

@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, functions as F
 
-from lakeloom.functions.nested import has_key, holds_value
+from lakeloom.functions.nested import has_key, holds_value, some_lack
 
 # What stands for an absent value, per type.
 SENTINELS = {
@@ -204,14 +204,24 @@ class Listing:
         if self.rule in (REQUIRED, NOT_NULL):
             missing = ~scope.has_key(self.sources[0])
             out.append(F.when(missing, F.lit(f"missing: {child_path(scope.path, self.sources[0])[2:]}")))
-        if self.fields:
-
-            def broken(item: Column) -> Column:
-                found = [e for f in self.fields for e in f.errors(Scope(item, None))]
-                return F.coalesce(*found).isNotNull() if found else F.lit(False)
-
-            if any(f.rule in (REQUIRED, NOT_NULL) for f in self.fields):
-                out.append(F.when(F.exists(self.items(scope), broken), F.lit(f"missing: {self.name}[]")))
+        keys = [f.sources[0] for f in self.fields if f.rule in (REQUIRED, NOT_NULL)]
+        if keys:
+
+            def suspect(item: Column) -> Column:
+                null = item[keys[0]].isNull()
+                for key in keys[1:]:
+                    null = null | item[key].isNull()
+                return null
+
+            # the typed elements tell cheaply that nothing is missing; the VARIANT
+            # is asked only about elements with a null
+            earlier = F.lit(True)
+            for source in self.sources:
+                typed = scope.typed[source]
+                used = earlier & F.exists(typed, suspect)
+                lacking = used & some_lack(scope.variant, child_path(scope.path, source), *keys)
+                out.append(F.when(lacking, F.lit(f"missing: {source}[]")))
+                earlier = earlier & (F.coalesce(F.size(typed), F.lit(0)) < 1)
         return out
 
 

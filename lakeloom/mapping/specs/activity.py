@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lakeloom.functions.nested import has_key, string_map, truthy
+from lakeloom.functions.nested import has_key, lacks_any, objects, some_lack, string_map, truthy
 from lakeloom.functions.texts import csv_rows
 from lakeloom.mapping.spec import (
     SENTINELS,
@@ -371,7 +371,10 @@ def _adherence_check(body: Body) -> Column:
     lacking = F.coalesce(
         *[F.when(~has_key(body.variant, f"$.adherence.{n}"), F.lit(f"missing: adherence.{n}")) for n in names]
     )
-    return F.when(_counted(body), lacking)
+    meds = some_lack(
+        body.variant, "$.adherence.meds", "mid", "dosesExpected", "dosesTaken", "dosesTakenActual", "percent", "percentActual"
+    )
+    return F.when(_counted(body), F.coalesce(lacking, F.when(meds, F.lit("missing: adherence.meds[]"))))
 
 
 ADHERENCE = Mapping(
@@ -549,6 +552,23 @@ def _answers(body: Body) -> Column:
     return F.flatten(F.transform(questions, lambda q: F.transform(q["answers"], lambda a: answer(q, a))))
 
 
+def _questionnaire_check(body: Body) -> Column:
+    def question_lacks(q: Column) -> Column:
+        return (
+            lacks_any(q, "questionId", "text")
+            | objects(q, "$.answers").isNull()
+            | some_lack(q, "$.answers", "text")
+        )
+
+    def section_lacks(g: Column) -> Column:
+        questions = objects(g, "$.questions")
+        some = F.coalesce(F.exists(questions, question_lacks), F.lit(True))
+        return some | (~has_key(g, "$.questionnaireGroupId") & (F.size(questions) > 0))
+
+    sections = objects(body.variant, "$.questionnaire")
+    return F.when(F.coalesce(F.exists(sections, section_lacks), F.lit(True)), F.lit("missing: questionnaire"))
+
+
 QUESTIONNAIRE = Mapping(
     "questionnaire_response",
     ("questionnaire_response_created",),
@@ -558,14 +578,9 @@ QUESTIONNAIRE = Mapping(
             "questions",
             QUESTIONNAIRE_TYPE,
             _questions,
-            check=lambda body: F.when(_questions(body).isNull(), F.lit("missing: questionnaire")),
-        ),
-        Derived(
-            "answers",
-            QUESTIONNAIRE_TYPE,
-            _answers,
-            check=lambda body: F.when(_answers(body).isNull(), F.lit("missing: questionnaire answers")),
+            check=_questionnaire_check,
         ),
+        Derived("answers", QUESTIONNAIRE_TYPE, _answers),
         required("date_saved", "dateS"),
         if_null("language"),
         required("questionnaire_id"),
@@ -629,8 +644,9 @@ def _results_check(body: Body) -> Column:
     def broken(r: Column) -> Column:
         return r["fvc"].isNull() | r["fev1"].isNull()
 
+    lacking = some_lack(body.variant, "$.results", "createdDate", "fev1Unit", "fvcUnit", "id")
     return F.when(body["results"].isNull(), F.lit("missing: results")).when(
-        F.exists(body["results"], broken), F.lit("missing: results[]")
+        F.exists(body["results"], broken) | lacking, F.lit("missing: results[]")
     )
 
 

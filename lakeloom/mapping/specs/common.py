@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lakeloom.functions.nested import has_key, holds_value
+from lakeloom.functions.nested import has_key, holds_value, objects, some_lack
 from lakeloom.functions.times import iso_ms, parse_any_ts
 from lakeloom.mapping.spec import (
     SENTINELS,
@@ -301,12 +301,22 @@ def _blank_dose_time() -> Column:
 
 
 def _plan_check(body: Body) -> Column:
-    def broken(m: Column) -> Column:
+    def suspect(m: Column) -> Column:
         doses = F.exists(m["usageList"], lambda u: u["hour"].isNull() | u["minute"].isNull())
         sensors = F.exists(m["sensors"], lambda s: s["mac"].isNull())
         return m["medication"]["id"].isNull() | F.coalesce(doses, F.lit(False)) | F.coalesce(sensors, F.lit(False))
 
-    return F.when(F.exists(_plan(body), broken), F.lit("missing: plan.medications[]"))
+    def lacking(m: Column) -> Column:
+        return (
+            ~has_key(m, "$.medication.id")
+            | some_lack(m, "$.usageList", "hour", "minute")
+            | some_lack(m, "$.sensors", "mac")
+        )
+
+    medications = objects(body.variant, "$.plan.medications")
+    return F.when(
+        F.exists(_plan(body), suspect) & F.exists(medications, lacking), F.lit("missing: plan.medications[]")
+    )
 
 
 def plan_sections():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lakeloom.functions.nested import truthy
+from lakeloom.functions.nested import some_lack, truthy
 from lakeloom.mapping.spec import (
     Body,
     Derived,
@@ -220,10 +220,8 @@ def _medical_ids_required(body: Body) -> Column:
 
 
 def _medical_ids_check(body: Body) -> Column:
-    def broken(m: Column) -> Column:
-        return m["descriptorKey"].isNull() | m["isRequired"].isNull()
-
-    return F.when(F.exists(body["medicalIdsRequired"], broken), F.lit("missing: medicalIdsRequired[]"))
+    lacking = some_lack(body.variant, "$.medicalIdsRequired", "descriptorKey", "isRequired")
+    return F.when(lacking, F.lit("missing: medicalIdsRequired[]"))
 
 
 GROUP = Mapping(

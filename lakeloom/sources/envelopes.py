@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeloom.functions.nested import has_key
+from lakeloom.functions.nested import compute_once, has_key
 from lakeloom.functions.texts import decode_base64, stream_event_type
 from lakeloom.functions.times import parse_any_ts
 
@@ -34,7 +34,7 @@ REQUIRED_KEYS = {
 
 def decode_payload(records: DataFrame, column: str = "data", *, into: str = "payload") -> DataFrame:
     """Add the decoded JSON as a VARIANT; null where the record is not base64(JSON)."""
-    return records.withColumn(into, F.try_parse_json(decode_base64(F.col(column))))
+    return compute_once(records, into, F.try_parse_json(decode_base64(F.col(column))))
 
 
 def decode_envelopes(records: DataFrame, column: str = "data", *, keep=(), event_type: Column | None = None) -> DataFrame:
