@@ -21,7 +21,7 @@ def has_key(value: Column, path: str) -> Column:
 
 def holds_value(value: Column, path: str) -> Column:
     """True if the path exists and is not a JSON null."""
-    return has_key(value, path) & ~F.is_variant_null(F.try_variant_get(value, path, "variant"))
+    return F.try_variant_get(value, path, "string").isNotNull()
 
 
 def objects(value: Column, path: str) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakeloom.functions.texts import encode_base64
 from lakeloom.functions.times import iso_ms
 from lakeloom.queries.base import Tables
+from lakeloom.session import spread
 from lakeloom.sources.envelopes import decode_envelopes
 
 EXPLICIT = "event_id % 2 = 0"
@@ -104,7 +105,7 @@ def envelope_json(event_type: Column, body: Column, args: str = DEFAULT_ARGS, ca
 
 def records(t: Tables, event_types, body: dict, args: str = DEFAULT_ARGS) -> DataFrame:
     """``event_id`` and base64 ``data`` of one envelope per event."""
-    return t.events.select("event_id", encode_base64(envelope_json(pick(event_types), body_json(body), args)).alias("data"))
+    return spread(t.events, "event_id").select("event_id", encode_base64(envelope_json(pick(event_types), body_json(body), args)).alias("data"))
 
 
 def envelopes(t: Tables, event_types, body: dict, args: str = DEFAULT_ARGS) -> DataFrame:

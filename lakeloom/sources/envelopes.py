@@ -21,15 +21,8 @@ ENVELOPE_COLUMNS = [
     "envelope_errors",
 ]
 
-# Envelope keys that must be present, with the column they feed.
-REQUIRED_KEYS = {
-    "userId": "user_id",
-    "groupId": "group_id",
-    "callTime": "call_time",
-    "pubSubEventId": "pub_sub_event_id",
-    "pubSubArgs": "args",
-    "body": "body",
-}
+# Envelope keys that must be present.
+REQUIRED_KEYS = ["userId", "groupId", "callTime", "pubSubEventId", "pubSubArgs", "body"]
 
 
 def decode_payload(records: DataFrame, column: str = "data", *, into: str = "payload") -> DataFrame:
@@ -55,11 +48,16 @@ def envelope_columns(records: DataFrame, *, payload: str = "payload", keep=(), e
 
     call_time = text("callTime")
     call_ts = parse_any_ts(call_time)
+    args = string_args(value)
+    body = F.try_variant_get(value, "$.body", "variant")
+    read = {key: text(key) for key in REQUIRED_KEYS} | {"pubSubArgs": args, "body": body}
+    # a null column is cheap to see; the VARIANT is asked only then whether the key is missing
     problems = [F.when(value.isNull(), F.lit("payload: not base64 JSON"))]
     problems += [
-        F.when(value.isNotNull() & ~has_key(value, f"$.{key}"), F.lit(f"missing: {key}")) for key in REQUIRED_KEYS
+        F.when(value.isNotNull() & read[key].isNull() & ~has_key(value, f"$.{key}"), F.lit(f"missing: {key}"))
+        for key in REQUIRED_KEYS
     ]
-    problems.append(F.when(has_key(value, "$.callTime") & call_ts.isNull(), F.lit("format: callTime")))
+    problems.append(F.when(call_ts.isNull() & has_key(value, "$.callTime"), F.lit("format: callTime")))
     return records.select(
         *keep,
         text("userId").alias("user_id"),
@@ -68,8 +66,8 @@ def envelope_columns(records: DataFrame, *, payload: str = "payload", keep=(), e
         call_ts.alias("call_ts"),
         (text("pubSubEvent") if event_type is None else event_type).alias("event_type"),
         text("pubSubEventId").alias("pub_sub_event_id"),
-        string_args(value).alias("args"),
-        F.try_variant_get(value, "$.body", "variant").alias("body"),
+        args.alias("args"),
+        body.alias("body"),
         F.array_compact(F.array(*problems)).alias("envelope_errors"),
     )
 
