@@ -14,6 +14,11 @@ def compute_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value evaluated once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def has_key(value: Column, path: str) -> Column:
     """True if the path exists, even when it holds a JSON null."""
     return F.try_variant_get(value, path, "variant").isNotNull()

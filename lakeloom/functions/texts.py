@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from lakeloom.functions.nested import let
+
 
 def decode_base64(text: Column) -> Column:
     """UTF-8 text behind base64; null if the input is not base64."""
@@ -56,26 +58,40 @@ def deletions(text: Column, distance: int) -> Column:
 def csv_rows(text: Column) -> Column:
     """Rows of a CSV text as an array of header -> value maps, blank lines left out."""
     lines = F.filter(F.split(text, r"\r\n|\r|\n"), lambda line: F.length(line) > 0)
-    header = csv_cells(F.get(lines, F.lit(0)))
-    return F.transform(
-        F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
-        lambda line: F.map_from_arrays(header, _fit(csv_cells(line), F.size(header))),
-    )
+
+    def rows(lines: Column) -> Column:
+        def under(header: Column) -> Column:
+            return F.transform(
+                F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
+                lambda line: F.map_from_arrays(header, _fit(csv_cells(line), F.size(header))),
+            )
+
+        return let(csv_cells(F.get(lines, F.lit(0))), under)
+
+    return let(lines, rows)
+
+
+# Fixed value: a comma and the cell after it, quoted or not.
+CSV_CELL = ',("(?:[^"]|"")*"|[^,]*)'
 
 
 def csv_cells(line: Column) -> Column:
     """Cells of one CSV line; quotes may hold commas, a doubled quote is one quote."""
-    raw = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CSV_CELL), F.lit(1))
     return F.transform(
         raw,
         lambda cell: F.when(
-            cell.rlike(r'^".*"$'),
-            F.regexp_replace(F.substr(cell, F.lit(2), F.length(cell) - 2), '""', '"'),
+            cell.startswith('"'),
+            F.replace(F.substr(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"')),
         ).otherwise(cell),
     )
 
 
 def _fit(cells: Column, width: Column) -> Column:
     """Pad with nulls or cut so that a short or long line still fits the header."""
-    padded = F.concat(cells, F.array_repeat(F.lit(None).cast("string"), F.greatest(width - F.size(cells), F.lit(0))))
-    return F.slice(padded, 1, width)
+
+    def fitted(cells: Column) -> Column:
+        lacking = F.greatest(width - F.size(cells), F.lit(0))
+        return F.slice(F.concat(cells, F.array_repeat(F.lit(None).cast("string"), lacking)), 1, width)
+
+    return let(cells, fitted)

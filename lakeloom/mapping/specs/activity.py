@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lakeloom.functions.nested import has_key, lacks_any, objects, some_lack, string_map, truthy
+from lakeloom.functions.nested import has_key, lacks_any, let, objects, some_lack, string_map, truthy
 from lakeloom.functions.texts import csv_rows
 from lakeloom.mapping.spec import (
     SENTINELS,
@@ -436,8 +436,6 @@ def _forecast_row(row: Column, index: Column) -> Column:
 
 
 def _forecast_check(body: Body) -> Column:
-    rows = _first_rows(body)
-
     def wrong(row: Column) -> Column:
         bad = F.lit(False)
         for name, kind in _numbers():
@@ -445,9 +443,11 @@ def _forecast_check(body: Body) -> Column:
             bad = bad | (F.map_contains_key(row, F.lit(name)) & cell.try_cast(kind).isNull())
         return bad
 
-    return F.when(F.coalesce(F.size(rows), F.lit(0)) < FORECAST_ROWS, F.lit("input: fewer than 8 rows")).when(
-        F.exists(rows, wrong), F.lit("type: input")
-    )
+    def found(rows: Column) -> Column:
+        few = F.coalesce(F.size(rows), F.lit(0)) < FORECAST_ROWS
+        return F.when(few, F.lit("input: fewer than 8 rows")).when(F.exists(rows, wrong), F.lit("type: input"))
+
+    return let(_first_rows(body), found)
 
 
 FORECAST = Mapping(

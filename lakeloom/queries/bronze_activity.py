@@ -46,33 +46,34 @@ WEATHER_BODY = (
     | {"aqi": S(1, "concat('', event_id % 300)"), "humidity": "event_id % 100 + 0.75", "aqiCategory": S(2, "'good'")}
 )
 
+EVENT_BODY = {
+    "id": "'ev' || event_id",
+    "date": S(0, "'2024-01-02'"),
+    "nightEvent": S(1, "event_id % 3 = 0"),
+    "source": "'app'",
+    "doses": S(2, "event_id % 4"),
+    "preemptive": S(3, "true"),
+    "medicationId": S(0, "'m'"),
+    "medication": Obj({"type": S(1, "'rescue'")}, "event_id % 3 = 0"),
+    "triggers": Arr(["'t' || (event_id % 3)", "'u'"], ["event_id % 3 = 1", "event_id % 6 = 1"]),
+    "symptoms": Arr(["'s'"], ["event_id % 5 = 1"]),
+    "address": Obj(GEO, "event_id % 5 <> 0"),
+    "weather": Obj(WEATHER_BODY, "event_id % 4 <> 3"),
+    "place": Obj(
+        {
+            "location": Obj({"coordinates": PAIR}),
+            "type": "'poi'",
+            "name": S(0, "'pn'"),
+            "element": "'node'",
+            "id": "event_id",
+        },
+        "event_id % 3 = 2",
+    ),
+    "note": "CASE event_id % 4 WHEN 0 THEN 'note' WHEN 1 THEN '' END",
+}
 mapped(
     "event",
-    {
-        "id": "'ev' || event_id",
-        "date": S(0, "'2024-01-02'"),
-        "nightEvent": S(1, "event_id % 3 = 0"),
-        "source": "'app'",
-        "doses": S(2, "event_id % 4"),
-        "preemptive": S(3, "true"),
-        "medicationId": S(0, "'m'"),
-        "medication": Obj({"type": S(1, "'rescue'")}, "event_id % 3 = 0"),
-        "triggers": Arr(["'t' || (event_id % 3)", "'u'"], ["event_id % 3 = 1", "event_id % 6 = 1"]),
-        "symptoms": Arr(["'s'"], ["event_id % 5 = 1"]),
-        "address": Obj(GEO, "event_id % 5 <> 0"),
-        "weather": Obj(WEATHER_BODY, "event_id % 4 <> 3"),
-        "place": Obj(
-            {
-                "location": Obj({"coordinates": PAIR}),
-                "type": "'poi'",
-                "name": S(0, "'pn'"),
-                "element": "'node'",
-                "id": "event_id",
-            },
-            "event_id % 3 = 2",
-        ),
-        "note": "CASE event_id % 4 WHEN 0 THEN 'note' WHEN 1 THEN '' END",
-    },
+    EVENT_BODY,
     [
         same("event_id", "id"),
         same("date", "date"),

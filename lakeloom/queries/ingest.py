@@ -205,26 +205,22 @@ def routed(t: Tables) -> DataFrame:
     "delivery_batches",
     """
     SELECT 'i' || o_orderkey AS invocation_id, replace(lower(o_orderpriority[3:]), ' ', '_') AS stream_event_type,
-           'r' || l_linenumber AS record_id, CAST(l_partkey AS BIGINT) AS part
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+           'r' || n AS record_id, CASE n WHEN 1 THEN o_custkey ELSE o_orderkey END AS part
+    FROM orders CROSS JOIN (SELECT unnest([1, 2]) AS n)
     """,
 )
 def batches(t: Tables) -> DataFrame:
-    """Delivery batches with nested records: one per order, one record per line."""
-    line = F.struct(
-        F.concat(F.lit("r"), "l_linenumber").alias("recordId"),
-        encode_base64(F.concat(F.lit('{"part":'), "l_partkey", F.lit("}"))).alias("data"),
-    )
+    """Delivery batches of two nested records; the stream's name ends with the event type."""
+
+    def record(name: str, key: str) -> Column:
+        data = encode_base64(F.concat(F.lit('{"part":'), F.col(key), F.lit("}")))
+        return F.struct(F.lit(name).alias("recordId"), data.alias("data"))
+
     priority = F.regexp_replace(F.lower(F.substring("o_orderpriority", 3, 100)), " ", "_")
-    sent = (
-        t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy("o_orderkey", "o_orderpriority")
-        .agg(F.collect_list(line).alias("records"))
-        .select(
-            F.concat(F.lit("i"), "o_orderkey").alias("invocationId"),
-            F.concat(F.lit("arn:x:y/stream-eu-"), priority).alias("deliveryStreamArn"),
-            "records",
-        )
+    sent = t.orders.select(
+        F.concat(F.lit("i"), "o_orderkey").alias("invocationId"),
+        F.concat(F.lit("arn:x:y/stream-eu-"), priority).alias("deliveryStreamArn"),
+        F.array(record("r1", "o_custkey"), record("r2", "o_orderkey")).alias("records"),
     )
     rows = decode_payload(delivery_records(sent))
     return rows.select(

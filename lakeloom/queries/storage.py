@@ -226,54 +226,58 @@ def _file_bytes(rows: DataFrame) -> int:
 @query(
     "nested_flatten",
     """
-    SELECT o_custkey, l_orderkey, l_linenumber, l_quantity, o_orderstatus
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    SELECT l_orderkey, l_linenumber, 'q' AS part, 'a' AS child, l_quantity AS amount, l_returnflag AS flag FROM lineitem
+    UNION ALL SELECT l_orderkey, l_linenumber, 'q', 'b', l_tax, l_returnflag FROM lineitem
+    UNION ALL SELECT l_orderkey, l_linenumber, 'p', 'a', l_extendedprice, l_linestatus FROM lineitem WHERE l_discount > 0.05
     """,
 )
 def nested(t: Tables) -> DataFrame:
-    """Lines inside orders inside customers, flattened with the order's status kept."""
-    lines = t.lineitem.groupBy("l_orderkey").agg(
-        F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines")
+    """Children inside parents inside rows, flattened with their parent's flag; some parents have none."""
+    child = "struct<child:string,amount:double>"
+    first = F.array(
+        F.struct(F.lit("a").alias("child"), F.col("l_quantity").alias("amount")),
+        F.struct(F.lit("b").alias("child"), F.col("l_tax").alias("amount")),
     )
-    orders = (
-        t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy("o_custkey")
-        .agg(F.collect_list(F.struct("l_orderkey", "o_orderstatus", "lines")).alias("orders"))
+    second = F.when(
+        F.col("l_discount") > 0.05, F.array(F.struct(F.lit("a").alias("child"), F.col("l_extendedprice").alias("amount")))
+    )
+    parents = F.array(
+        F.struct(F.lit("q").alias("part"), F.col("l_returnflag").alias("flag"), first.cast(f"array<{child}>").alias("children")),
+        F.struct(F.lit("p").alias("part"), F.col("l_linestatus").alias("flag"), second.cast(f"array<{child}>").alias("children")),
     )
     flat = flatten_map(
-        F.col("orders"),
-        lambda o: F.transform(
-            o["lines"],
-            lambda x: F.struct(
-                o["l_orderkey"].alias("l_orderkey"), x["l_linenumber"].alias("l_linenumber"),
-                x["l_quantity"].alias("l_quantity"), o["o_orderstatus"].alias("o_orderstatus"),
+        F.col("parents"),
+        lambda p: F.transform(
+            p["children"],
+            lambda c: F.struct(
+                p["part"].alias("part"), c["child"].alias("child"), c["amount"].alias("amount"), p["flag"].alias("flag")
             ),
         ),
-    )
-    return orders.select("o_custkey", F.explode(flat).alias("line")).select("o_custkey", "line.*")
+    )
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", parents.alias("parents"))
+    return rows.select("l_orderkey", "l_linenumber", F.explode(flat).alias("line")).select("l_orderkey", "l_linenumber", "line.*")
 
 
 @query(
     "csv_field",
     """
-    SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS line, l_extendedprice AS price, l_returnflag || ', ' || l_linestatus AS note
-    FROM lineitem
+    SELECT l_orderkey, l_linenumber, n AS line, CASE n WHEN 1 THEN l_extendedprice WHEN 2 THEN l_quantity END AS price,
+           CASE n WHEN 1 THEN l_returnflag || ', ' || l_linestatus WHEN 2 THEN 'say "' || l_returnflag || '"' ELSE '' END AS note
+    FROM lineitem CROSS JOIN (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS n)
     """,
 )
 def csv_field(t: Tables) -> DataFrame:
-    """Lines of an order as CSV text in one field, typed by their header."""
-    row = F.concat_ws(
-        ",",
-        F.concat(F.lit('"'), "l_returnflag", F.lit(", "), "l_linestatus", F.lit('"')),
-        F.col("l_linenumber").cast("string"),
-        F.col("l_extendedprice").cast("string"),
-    )
-    texts = t.lineitem.groupBy("l_orderkey").agg(
-        F.concat(F.lit("note,line,price\r\n"), F.array_join(F.collect_list(row), "\n")).alias("text")
-    )
-    rows = texts.select("l_orderkey", F.explode(csv_rows(F.col("text"))).alias("row"))
+    """CSV text in a field, typed by its header: quoted commas and quotes, an empty and a short line."""
+    text = F.concat(
+        F.lit("note,line,price\r\n"),
+        F.lit('"'), "l_returnflag", F.lit(", "), "l_linestatus", F.lit('",1,'), F.col("l_extendedprice").cast("string"),
+        F.lit('\n\n"say ""'), "l_returnflag", F.lit('""",2,'), F.col("l_quantity").cast("string"),
+        F.lit("\n,3"),
+    )
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.explode(csv_rows(text)).alias("row"))
     return rows.select(
         "l_orderkey",
+        "l_linenumber",
         F.col("row")["line"].try_cast("int").alias("line"),
         F.col("row")["price"].try_cast("double").alias("price"),
         F.col("row")["note"].alias("note"),
@@ -441,7 +445,7 @@ def deduplicated(t: Tables) -> DataFrame:
 
 
 @query(
-    "hourly_counts_by_file",
+    "hourly_counts",
     """
     SELECT strftime(date_trunc('hour', ts), '%Y-%m-%dT%H') AS hour, event_type, count(*) AS events FROM events GROUP BY ALL
     """,
