@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeloom.functions.times import hour_of
-from lakeloom.operators.spine import HOUR, hours_between
+from lakeloom.operators.spine import HOUR, hour_spine
 from lakeloom.session import spread
 
 LOOKBACK_HOURS = 48
@@ -93,18 +93,24 @@ def point_timeline(
     )
 
 
-def asof_hours(spans: DataFrame, timeline: DataFrame, on: list[str], *, into: str = "hour") -> DataFrame:
-    """One row per hour of every span, with the ``point`` that serves the hour or null.
+def asof_spans(spans: DataFrame, timeline: DataFrame, on: list[str]) -> DataFrame:
+    """Spans cut where the serving point changes, each with its ``point`` or null.
 
     ``spans`` holds ``first_hour`` and ``last_hour``; other columns are carried along.
+    Whatever depends on the point is best computed here, before the spans are
+    expanded to hours with :func:`lakeloom.operators.spine.hour_spine`.
     """
     kept = [c for c in spans.columns if c not in ("first_hour", "last_hour")]
     s, t = spans.alias("s"), timeline.alias("t")
     same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in on]
     overlap = (F.col("t.from_hour") <= F.col("s.last_hour")) & (F.col("t.to_hour") >= F.col("s.first_hour"))
-    matched = s.join(t, [*same, overlap], "left")
     first = F.greatest(F.col("s.first_hour"), F.coalesce(F.col("t.from_hour"), F.col("s.first_hour")))
     last = F.least(F.col("s.last_hour"), F.coalesce(F.col("t.to_hour"), F.col("s.last_hour")))
-    return matched.select(
-        *[F.col(f"s.{c}") for c in kept], F.col("t.point"), F.explode(hours_between(first, last)).alias(into)
+    return s.join(t, [*same, overlap], "left").select(
+        *[F.col(f"s.{c}") for c in kept], F.col("t.point"), first.alias("first_hour"), last.alias("last_hour")
     )
+
+
+def asof_hours(spans: DataFrame, timeline: DataFrame, on: list[str], *, into: str = "hour") -> DataFrame:
+    """One row per hour of every span, with the ``point`` that serves the hour or null."""
+    return hour_spine(asof_spans(spans, timeline, on), into=into)

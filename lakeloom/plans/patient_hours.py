@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeloom.functions.times import Period, iso_ms, parse_any_ts
-from lakeloom.operators.asof import LOOKBACK_HOURS, asof_hours, point_timeline
+from lakeloom.operators.asof import LOOKBACK_HOURS, asof_spans, point_timeline
 from lakeloom.operators.conform import flatten_structs
 from lakeloom.operators.environment import MEASURES, environmental_hours
-from lakeloom.operators.spine import hour_spans
+from lakeloom.operators.spine import hour_spans, hour_spine
 from lakeloom.sinks.tables import stale_partitions, write_partitions
 from lakeloom.sources.tables import read_month, read_months
 
@@ -48,26 +48,36 @@ def location_timeline(points: DataFrame, *, lookback_hours: int = LOOKBACK_HOURS
     )
 
 
-def located_hours(spans: DataFrame, timeline: DataFrame) -> DataFrame:
-    """One row per patient and hour with the location and how it was found."""
-    hours = asof_hours(spans, timeline, ["user_id"])
+def located_spans(spans: DataFrame, timeline: DataFrame) -> DataFrame:
+    """Spans of constant location: the recent point or the fallback, flattened.
+
+    Choosing and flattening happen once per span, not once per hour.
+    """
+    cut = asof_spans(spans, timeline, ["user_id"])
     recent = F.col("point").isNotNull()
 
     def pick(name: str) -> Column:
         return F.when(recent, F.col("point")[name]).otherwise(F.col("geo_location_first")[name]).alias(name)
 
-    return hours.select(
+    chosen = cut.select(
         *KEYS,
-        "hour",
+        "first_hour",
+        "last_hour",
         *[pick(name) for name in LOCATION],
         F.when(recent, F.lit(RECENT)).otherwise(F.lit(FALLBACK)).alias("location_strategy"),
     )
+    return flatten_structs(chosen)
+
+
+def located_hours(spans: DataFrame, timeline: DataFrame) -> DataFrame:
+    """One row per patient and hour with the location and how it was found."""
+    return hour_spine(located_spans(spans, timeline))
 
 
 def with_environment(hours: DataFrame, environment: DataFrame) -> DataFrame:
     """Left join on the weather coordinate and the hour."""
     h, e = hours.alias("h"), environment.alias("e")
-    on = [F.col("h.weather_coordinate.id") == F.col("e.location_id"), F.col("h.hour") == F.col("e.hour")]
+    on = [F.col("h.weather_coordinate_id") == F.col("e.location_id"), F.col("h.hour") == F.col("e.hour")]
     return h.join(e, on, "left").select("h.*", *[F.col(f"e.{m}") for m in MEASURES])
 
 
@@ -97,9 +107,10 @@ def patient_hours(
 
 
 def shape(hours: DataFrame) -> DataFrame:
-    """Output columns: dates of the hour, structs flattened one level."""
+    """Output columns: flat ones first, then those of the former structs."""
     hour = F.col("hour")
-    dated = hours.select(
+    nested = [c for c in hours.columns if c.startswith(("address_", "place_", "weather_coordinate_"))]
+    return hours.select(
         "user_id",
         "latitude",
         "longitude",
@@ -110,13 +121,10 @@ def shape(hours: DataFrame) -> DataFrame:
         F.month(hour).alias("date_month"),
         F.dayofmonth(hour).alias("date_day"),
         F.hour(hour).alias("date_hour"),
-        "address",
-        "place",
-        "weather_coordinate",
         "location_strategy",
         *MEASURES,
+        *nested,
     )
-    return flatten_structs(dated)
 
 
 def write(hours: DataFrame, path: str) -> None:

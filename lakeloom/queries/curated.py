@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeloom.functions.times import Period, clamp, hour_of, iso_ms, ts_literal
-from lakeloom.operators.asof import asof_hours, point_timeline
+from lakeloom.operators.asof import asof_spans, point_timeline
 from lakeloom.operators.conform import flatten_structs
 from lakeloom.operators.environment import MEASURES, environmental_hours
 from lakeloom.operators.latest import drop_duplicates_on, latest_by_key
@@ -113,15 +113,17 @@ def asof(t: Tables) -> DataFrame:
     spans = user_spans(t, F.min_by(F.struct("event_id", "value"), F.struct("ts", "event_id")), "first")
     views = t.events.filter(F.col("event_type") == "view")
     timeline = point_timeline(views, ["user_id"], F.col("ts"), carry=["event_id", "value"], tie=["event_id"])
-    hours = asof_hours(spans, timeline, ["user_id"])
+    cut = asof_spans(spans, timeline, ["user_id"])
     recent = F.col("point").isNotNull()
-    return hours.select(
+    chosen = cut.select(
         "user_id",
-        F.date_format("hour", "yyyy-MM-dd'T'HH").alias("hour"),
+        "first_hour",
+        "last_hour",
         F.when(recent, F.col("point.event_id")).otherwise(F.col("first.event_id")).alias("event_id"),
         F.when(recent, F.col("point.value")).otherwise(F.col("first.value")).alias("value"),
         F.when(recent, F.lit("last_48_hours")).otherwise(F.lit("geo_location_first")).alias("location_strategy"),
     )
+    return hour_spine(chosen).withColumn("hour", F.date_format("hour", "yyyy-MM-dd'T'HH"))
 
 
 # Stand-ins for the third-party tables: clicks are weather, purchases are air quality.
