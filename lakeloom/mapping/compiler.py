@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeloom.functions.nested import compute_once, has_key
 from lakeloom.functions.times import iso_ms
-from lakeloom.mapping.spec import Mapping, Scope
+from lakeloom.mapping.spec import BODY, Mapping, Scope
 
 ENVELOPE_OUTPUT = ["user_id", "group_id", "call_time", "pub_sub_event_id", "date_year", "date_month"]
 
@@ -26,7 +26,7 @@ def map_events(envelopes: DataFrame, mapping: Mapping, *, keep=()) -> DataFrame:
         "event_type",
         "pub_sub_event_id",
         "args",
-        "body",
+        "payload",
         "envelope_errors",
     )
     if mapping.fields:
@@ -62,13 +62,13 @@ def compiled(mapping: Mapping) -> tuple[list[Column], Column, Column]:
 
 
 def _compile(mapping: Mapping) -> tuple[list[Column], Column, Column]:
-    scope = Scope(F.col("typed"), F.col("body"))
+    scope = Scope(F.col("typed"), F.col("payload"))
     fields = [column.alias(name) for f in mapping.fields for name, column in f.columns(scope)]
     problems = [problem for f in mapping.fields for problem in f.errors(scope)]
     group_id = F.col("group_id")
     if mapping.group_id_from_body:
-        group_id = F.try_variant_get("body", "$.id", "string")
-        problems.append(F.when(~has_key(F.col("body"), "$.id"), F.lit("missing: id")))
+        group_id = F.try_variant_get("payload", f"{BODY}.id", "string")
+        problems.append(F.when(~has_key(F.col("payload"), f"{BODY}.id"), F.lit("missing: id")))
     errors = F.col("envelope_errors")
     if problems:
         errors = F.concat(errors, F.array_compact(F.array(*problems)))
@@ -76,7 +76,7 @@ def _compile(mapping: Mapping) -> tuple[list[Column], Column, Column]:
 
 
 def typed_body(mapping: Mapping) -> Column:
-    return F.try_variant_get("body", "$", mapping.body_type())
+    return F.try_variant_get("payload", BODY, mapping.body_type())
 
 
 def good_rows(mapped: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Field specifications and their compilation to columns.
 
 A mapping is a tree of fields. The leaves name a path in the event body, a type
-and a rule for absent values; the whole body is cast once to the struct type the
+and a rule for absent values; the body is cast once to the struct type the
 tree implies, and every output column is an expression over that struct. Only
 presence tests that must tell a missing key from a JSON null go back to the VARIANT.
 """
@@ -32,6 +32,9 @@ IF_NULL = "if_null"  # default for a missing key and for a JSON null
 OPTIONAL = "optional"  # null when absent
 
 
+BODY = "$.body"  # where the fields of an event lie in its payload
+
+
 def sql_type(kind: str) -> str:
     return "string" if kind == "datetime" else kind
 
@@ -42,7 +45,7 @@ class Scope:
 
     typed: Column
     variant: Column | None
-    path: str = "$"
+    path: str = BODY
 
     def down(self, name: str) -> "Scope":
         return Scope(self.typed[name], self.variant, child_path(self.path, name))
@@ -58,6 +61,11 @@ def child_path(path: str, name: str) -> str:
     return f"{path}.{name}" if name.replace("_", "a").isalnum() else f"{path}['{name}']"
 
 
+def label_of(scope: Scope, name: str) -> str:
+    """Path of a field below the body, for error texts."""
+    return child_path(scope.path, name)[len(BODY) + 1 :]
+
+
 @dataclass(frozen=True)
 class Leaf:
     """One scalar. ``sources`` are tried in order; the first one holding a value wins."""
@@ -94,7 +102,7 @@ class Leaf:
             return []
         out = []
         absent = scope.typed[self.sources[0]].isNull()
-        label = child_path(scope.path, self.sources[0])[2:]
+        label = label_of(scope, self.sources[0])
         if self.rule == REQUIRED:
             out.append(F.when(absent & ~scope.has_key(self.sources[0]), F.lit(f"missing: {label}")))
         elif self.rule == NOT_NULL:
@@ -104,7 +112,7 @@ class Leaf:
                 out.append(
                     F.when(
                         scope.typed[source].isNull() & scope.holds(source),
-                        F.lit(f"type: {child_path(scope.path, source)[2:]}"),
+                        F.lit(f"type: {label_of(scope, source)}"),
                     )
                 )
         return out
@@ -203,7 +211,7 @@ class Listing:
         out = []
         if self.rule in (REQUIRED, NOT_NULL):
             missing = ~scope.has_key(self.sources[0])
-            out.append(F.when(missing, F.lit(f"missing: {child_path(scope.path, self.sources[0])[2:]}")))
+            out.append(F.when(missing, F.lit(f"missing: {label_of(scope, self.sources[0])}")))
         keys = [f.sources[0] for f in self.fields if f.rule in (REQUIRED, NOT_NULL)]
         if keys:
 
@@ -247,7 +255,10 @@ class Derived:
 
 @dataclass(frozen=True)
 class Body:
-    """What a derived column may use: the typed body, its VARIANT, and the envelope columns."""
+    """What a derived column may use: the typed body, the payload, and the envelope columns.
+
+    ``variant`` is the whole payload: the body's fields are at ``$.body.<name>``.
+    """
 
     typed: Column
     variant: Column | None

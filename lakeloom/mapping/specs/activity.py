@@ -23,7 +23,7 @@ from lakeloom.mapping.specs.common import plain_address
 
 
 def _not_blank_object(body: Body, name: str) -> Column:
-    text = F.try_variant_get(body.variant, f"$.{name}", "string")
+    text = F.try_variant_get(body.variant, f"$.body.{name}", "string")
     return text.isNotNull() & (text != "{}")
 
 
@@ -98,7 +98,7 @@ def _weather(body: Body) -> Column:
 def _weather_check(body: Body) -> Column:
     wrong = [
         F.when(
-            body["weather"][source].isNull() & F.try_variant_get(body.variant, f"$.weather.{source}", "string").isNotNull(),
+            body["weather"][source].isNull() & F.try_variant_get(body.variant, f"$.body.weather.{source}", "string").isNotNull(),
             F.lit(f"type: weather.{source}"),
         )
         for source, kind in WEATHER.values()
@@ -121,7 +121,7 @@ def _place(body: Body) -> Column:
 
 
 def _place_check(body: Body) -> Column:
-    lacking = [~has_key(body.variant, f"$.place.{name}") for name in ("type", "name", "element", "id")]
+    lacking = [~has_key(body.variant, f"$.body.place.{name}") for name in ("type", "name", "element", "id")]
     lacking.append(F.coalesce(F.size(body["place"]["location"]["coordinates"]), F.lit(-1)) < 2)
     some = lacking[0]
     for one in lacking[1:]:
@@ -196,14 +196,14 @@ ALERT = Mapping(
             {"alertType": "string"},
             lambda body: _deleted_only(body["alertType"], body),
             check=lambda body: _deleted_only(
-                F.when(~has_key(body.variant, "$.alertType"), F.lit("missing: alertType")), body
+                F.when(~has_key(body.variant, "$.body.alertType"), F.lit("missing: alertType")), body
             ),
         ),
         Derived(
             "date_updated",
             {"updatedAt": "string"},
             lambda body: _deleted_only(
-                F.when(has_key(body.variant, "$.updatedAt"), body["updatedAt"]).otherwise(body.call_time), body
+                F.when(has_key(body.variant, "$.body.updatedAt"), body["updatedAt"]).otherwise(body.call_time), body
             ),
         ),
         optional("notified_id"),
@@ -216,7 +216,7 @@ ALERT = Mapping(
             lambda body: F.when(
                 body["firstAtRiskAlert"].isNotNull(),
                 (body["firstAtRiskAlert"] == "true")
-                & (F.schema_of_variant(F.try_variant_get(body.variant, "$.firstAtRiskAlert", "variant")) == "STRING"),
+                & (F.schema_of_variant(F.try_variant_get(body.variant, "$.body.firstAtRiskAlert", "variant")) == "STRING"),
             ),
         ),
         optional("day_uses", kind="int"),
@@ -293,10 +293,10 @@ GEO_LOCATION = Mapping(
                 body["place"].isNotNull()
                 & (
                     (F.coalesce(F.size(body["place"]["location"]), F.lit(-1)) < 2)
-                    | ~has_key(body.variant, "$.place.type")
-                    | ~has_key(body.variant, "$.place.name")
-                    | ~has_key(body.variant, "$.place.element")
-                    | ~has_key(body.variant, "$.place.id")
+                    | ~has_key(body.variant, "$.body.place.type")
+                    | ~has_key(body.variant, "$.body.place.name")
+                    | ~has_key(body.variant, "$.body.place.element")
+                    | ~has_key(body.variant, "$.body.place.id")
                 ),
                 F.lit("missing: place"),
             ),
@@ -369,10 +369,10 @@ def _meds_type() -> str:
 def _adherence_check(body: Body) -> Column:
     names = ("dosesExpected", "dosesTakenActual", "percent", "percentActual", "meds")
     lacking = F.coalesce(
-        *[F.when(~has_key(body.variant, f"$.adherence.{n}"), F.lit(f"missing: adherence.{n}")) for n in names]
+        *[F.when(~has_key(body.variant, f"$.body.adherence.{n}"), F.lit(f"missing: adherence.{n}")) for n in names]
     )
     meds = some_lack(
-        body.variant, "$.adherence.meds", "mid", "dosesExpected", "dosesTaken", "dosesTakenActual", "percent", "percentActual"
+        body.variant, "$.body.adherence.meds", "mid", "dosesExpected", "dosesTaken", "dosesTakenActual", "percent", "percentActual"
     )
     return F.when(_counted(body), F.coalesce(lacking, F.when(meds, F.lit("missing: adherence.meds[]"))))
 
@@ -565,7 +565,7 @@ def _questionnaire_check(body: Body) -> Column:
         some = F.coalesce(F.exists(questions, question_lacks), F.lit(True))
         return some | (~has_key(g, "$.questionnaireGroupId") & (F.size(questions) > 0))
 
-    sections = objects(body.variant, "$.questionnaire")
+    sections = objects(body.variant, "$.body.questionnaire")
     return F.when(F.coalesce(F.exists(sections, section_lacks), F.lit(True)), F.lit("missing: questionnaire"))
 
 
@@ -618,7 +618,7 @@ def _spirometer(body: Body) -> Column:
     sent = body["spirometer"]
     return F.struct(
         sent["manufacturer"].alias("manufacturer"),
-        string_map(body.variant, "$.spirometer.customData").alias("custom_data"),
+        string_map(body.variant, "$.body.spirometer.customData").alias("custom_data"),
         sent["name"].alias("name"),
         sent["deviceId"].alias("device_id"),
     )
@@ -644,7 +644,7 @@ def _results_check(body: Body) -> Column:
     def broken(r: Column) -> Column:
         return r["fvc"].isNull() | r["fev1"].isNull()
 
-    lacking = some_lack(body.variant, "$.results", "createdDate", "fev1Unit", "fvcUnit", "id")
+    lacking = some_lack(body.variant, "$.body.results", "createdDate", "fev1Unit", "fvcUnit", "id")
     return F.when(body["results"].isNull(), F.lit("missing: results")).when(
         F.exists(body["results"], broken) | lacking, F.lit("missing: results[]")
     )
@@ -653,7 +653,7 @@ def _results_check(body: Body) -> Column:
 def _spirometer_check(body: Body) -> Column:
     return F.coalesce(
         *[
-            F.when(~has_key(body.variant, f"$.spirometer.{n}"), F.lit(f"missing: spirometer.{n}"))
+            F.when(~has_key(body.variant, f"$.body.spirometer.{n}"), F.lit(f"missing: spirometer.{n}"))
             for n in SPIROMETER_TYPE["spirometer"]
         ]
     )
@@ -671,7 +671,7 @@ SPIROMETRY = Mapping(
         required("height_unit"),
         not_null("weight", kind="double"),
         required("weight_unit"),
-        Derived("custom_data", {}, lambda body: string_map(body.variant, "$.customData")),
+        Derived("custom_data", {}, lambda body: string_map(body.variant, "$.body.customData")),
     ),
 )
 

@@ -102,7 +102,7 @@ def parsed_date(name: str, source: str):
 
     def check(body: Body) -> Column:
         return (
-            F.when(~has_key(body.variant, f"$.{source}"), F.lit(f"missing: {source}"))
+            F.when(~has_key(body.variant, f"$.body.{source}"), F.lit(f"missing: {source}"))
             .when(parse_any_ts(body[source]).isNull(), F.lit(f"format: {source}"))
         )
 
@@ -117,7 +117,7 @@ def measure(name: str):
         return F.coalesce(F.try_variant_get(value, "$", "double"), F.try_variant_get(value, "$.value", "double"))
 
     def there(body: Body) -> Column:
-        return holds_value(body.variant, f"$.{name}")
+        return holds_value(body.variant, f"$.body.{name}")
 
     return [
         Derived(f"has_{name}", {name: "variant"}, there),
@@ -182,7 +182,7 @@ def notifications():
 
 
 def _missing_in(variant: Column, way: Column, source: str, kinds) -> Column:
-    lacking = [way[kind].isNull() & ~has_key(variant, f"$.notifications.{source}.{kind}") for kind in kinds]
+    lacking = [way[kind].isNull() & ~has_key(variant, f"$.body.notifications.{source}.{kind}") for kind in kinds]
     some = lacking[0]
     for one in lacking[1:]:
         some = some | one
@@ -313,7 +313,7 @@ def _plan_check(body: Body) -> Column:
             | some_lack(m, "$.sensors", "mac")
         )
 
-    medications = objects(body.variant, "$.plan.medications")
+    medications = objects(body.variant, "$.body.plan.medications")
     return F.when(
         F.exists(_plan(body), suspect) & F.exists(medications, lacking), F.lit("missing: plan.medications[]")
     )

@@ -119,7 +119,7 @@ def _conversion(body: Body) -> Column:
 
 
 def _group_if_missing(body: Body) -> Column:
-    there = has_key(body.variant, "$.group")
+    there = has_key(body.variant, "$.body.group")
     return F.struct(
         F.when(there, body["group"]["name"]).otherwise(F.lit("-1")).alias("name"),
         F.when(there, body["group"]["displayName"]).otherwise(F.lit("-1")).alias("display_name"),
@@ -127,8 +127,8 @@ def _group_if_missing(body: Body) -> Column:
 
 
 def _group_incomplete(body: Body) -> Column:
-    lacking = ~has_key(body.variant, "$.group.name") | ~has_key(body.variant, "$.group.displayName")
-    return F.when(has_key(body.variant, "$.group") & lacking, F.lit("missing: group"))
+    lacking = ~has_key(body.variant, "$.body.group.name") | ~has_key(body.variant, "$.body.group.displayName")
+    return F.when(has_key(body.variant, "$.body.group") & lacking, F.lit("missing: group"))
 
 
 GROUP_TYPE = {"group": {"name": "string", "displayName": "string"}}
@@ -201,7 +201,7 @@ def _group_or_default(body: Body) -> Column:
 
 
 def _group_fields_missing(body: Body) -> Column:
-    lacking = ~has_key(body.variant, "$.group.name") | ~has_key(body.variant, "$.group.displayName")
+    lacking = ~has_key(body.variant, "$.body.group.name") | ~has_key(body.variant, "$.body.group.displayName")
     return F.when(body["group"].isNotNull() & lacking, F.lit("missing: group"))
 
 

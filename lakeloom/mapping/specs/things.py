@@ -220,7 +220,7 @@ def _medical_ids_required(body: Body) -> Column:
 
 
 def _medical_ids_check(body: Body) -> Column:
-    lacking = some_lack(body.variant, "$.medicalIdsRequired", "descriptorKey", "isRequired")
+    lacking = some_lack(body.variant, "$.body.medicalIdsRequired", "descriptorKey", "isRequired")
     return F.when(lacking, F.lit("missing: medicalIdsRequired[]"))
 
 

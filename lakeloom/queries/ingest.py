@@ -67,8 +67,8 @@ def decode(t: Tables) -> DataFrame:
         "event_type",
         "pub_sub_event_id",
         F.array_join("args", "|", "~").alias("args"),
-        F.try_variant_get("body", "$.k", "int").alias("k"),
-        F.try_variant_get("body", "$.v", "int").alias("v"),
+        F.try_variant_get("payload", "$.body.k", "int").alias("k"),
+        F.try_variant_get("payload", "$.body.v", "int").alias("v"),
         F.size("envelope_errors").alias("problems"),
     )
 

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a stack trace per column call costs more than the column in large mappings
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

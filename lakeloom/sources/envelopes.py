@@ -1,4 +1,4 @@
-"""Event envelopes: base64(JSON) records decoded to fixed columns and a VARIANT body."""
+"""Event envelopes: base64(JSON) records decoded to fixed columns and a VARIANT payload."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ ENVELOPE_COLUMNS = [
     "event_type",
     "pub_sub_event_id",
     "args",
-    "body",
+    "payload",
     "envelope_errors",
 ]
 
@@ -49,7 +49,8 @@ def envelope_columns(records: DataFrame, *, payload: str = "payload", keep=(), e
     call_time = text("callTime")
     call_ts = parse_any_ts(call_time)
     args = string_args(value)
-    body = F.try_variant_get(value, "$.body", "variant")
+    # the body is left where it is: taking it out of the payload would copy it
+    body = F.try_variant_get(value, "$.body", "struct<_:string>")
     read = {key: text(key) for key in REQUIRED_KEYS} | {"pubSubArgs": args, "body": body}
     # a null column is cheap to see; the VARIANT is asked only then whether the key is missing
     problems = [F.when(value.isNull(), F.lit("payload: not base64 JSON"))]
@@ -67,7 +68,7 @@ def envelope_columns(records: DataFrame, *, payload: str = "payload", keep=(), e
         (text("pubSubEvent") if event_type is None else event_type).alias("event_type"),
         text("pubSubEventId").alias("pub_sub_event_id"),
         args.alias("args"),
-        body.alias("body"),
+        value.alias("payload"),
         F.array_compact(F.array(*problems)).alias("envelope_errors"),
     )
 
