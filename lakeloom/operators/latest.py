@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lakeloom.session import scratch_dir
+
 
 def latest_by_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` columns of every key.
@@ -43,29 +45,55 @@ def best_per_attributes(rows: DataFrame, chosen: list[str]) -> DataFrame:
     )
 
 
-def number_rows(rows: DataFrame, keys: list[str], bucket: Column, order: list[str], *, into: str = "row_number") -> DataFrame:
+def number_rows(
+    rows: DataFrame, keys: list[str], order: list[str], *, bucket: Column | None = None, into: str = "row_number"
+) -> DataFrame:
     """Exact 1-based numbering within ``keys``, without gathering a key in one task.
 
-    ``bucket`` must not decrease along ``order`` (an hour for a timestamp order, the
-    block of a file for file order). Rows are ranked inside their bucket and shifted
-    by the count of the earlier buckets, so a task holds one bucket of a key at most.
+    Rows are ranked inside slices of a key and shifted by the size of the slices before.
+    By default the slices come from a range partitioning over keys and order, which
+    splits a hot key and a hot moment alike; they are written to the scratch folder
+    once, so that counting and ranking see the same slices. A caller that knows a
+    bounded, non-decreasing ``bucket`` along the order (the block of a file) passes it
+    instead and saves the write.
     """
-    tagged = rows.withColumn("_bucket", bucket)
-    sizes = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")).alias("s")
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    tagged = _range_slices(rows, keys, order) if bucket is None else rows.withColumn("_slice", bucket)
+    ordering = order if bucket is not None else [*order, "_tie"]
+    sizes = tagged.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*keys, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")).alias("s")
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*ordering)
     ranked = tagged.withColumn("_rank", F.row_number().over(inside)).alias("r")
-    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, "_bucket"]]
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, "_slice"]]
     return ranked.join(starts, same, "left").select(
         *[F.col(f"r.{c}") for c in rows.columns], (F.col("_start") + F.col("_rank")).alias(into)
     )
 
 
+def _range_slices(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows with their range partition; ``_tie`` lets equal rows fall into different ones."""
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    path = scratch_dir(spark, "slices")
+    (
+        rows.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys, *order, "_tie")
+        .withColumn("_slice", F.spark_partition_id())
+        .write.parquet(path)
+    )
+    return spark.read.parquet(path)
+
+
 def assign_batches(
-    rows: DataFrame, keys: list[str], bucket: Column, order: list[str], *, size: int = 100, into: str = "batch"
+    rows: DataFrame,
+    keys: list[str],
+    order: list[str],
+    *,
+    bucket: Column | None = None,
+    size: int = 100,
+    into: str = "batch",
 ) -> DataFrame:
     """Consecutive batches of at most ``size`` rows per key, numbered from 0."""
-    numbered = number_rows(rows, keys, bucket, order, into="_row")
+    numbered = number_rows(rows, keys, order, bucket=bucket, into="_row")
     number = F.floor((F.col("_row") - 1) / size).cast("bigint")
     return numbered.select(*rows.columns, number.alias(into))

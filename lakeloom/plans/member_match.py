@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeloom.functions.texts import clean_name
 from lakeloom.functions.times import not_after, parse_us_date
-from lakeloom.operators.conform import select_trimmed, union_versions, with_missing
-from lakeloom.operators.latest import best_per_attributes
+from lakeloom.operators.conform import select_trimmed, truncate_to_width, union_versions, with_missing
 
 # Columns of the submitted files and their names in the output.
 SUBMITTED = {
@@ -107,8 +106,12 @@ def user_candidates(users: DataFrame, rules: MatchRules) -> DataFrame:
 def match_members(
     submitted: DataFrame, users: DataFrame, rules: MatchRules, *, today: Column, now: Column
 ) -> DataFrame:
-    """One row per distinct submission, with the matched ``uid`` and ``promo`` or nulls."""
-    rows = with_dates(submitted, rules, today)
+    """One row per distinct submission, with the matched ``uid`` and ``promo`` or nulls.
+
+    Copies of a submission collapse before the join, and a submission has at most one
+    partner, so the join neither multiplies rows nor needs another duplicate removal.
+    """
+    rows = with_dates(submitted, rules, today).dropDuplicates()
     candidates = user_candidates(users, rules)
 
     def name(column: str) -> Column:
@@ -129,4 +132,4 @@ def match_members(
         F.col("user.promo").alias("promo"),
         now.cast("timestamp").alias("datetime_modified"),
     )
-    return best_per_attributes(matched, ["uid", "promo"])
+    return truncate_to_width(matched, rules.widths) if rules.widths else matched

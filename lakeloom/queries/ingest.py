@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeloom.functions.texts import encode_base64, stream_event_type
-from lakeloom.functions.times import hour_of, iso_ms, ts_literal
+from lakeloom.functions.times import iso_ms, ts_literal
 from lakeloom.mapping.registry import EVENT_TYPES
 from lakeloom.operators.latest import assign_batches
 from lakeloom.operators.routing import (
@@ -257,8 +257,8 @@ def stream_names(t: Tables) -> DataFrame:
     """,
 )
 def numbered_batches(t: Tables) -> DataFrame:
-    """Batches of 100 per event type in time order; no task holds more than an hour of a type."""
-    rows = assign_batches(t.events, ["event_type"], hour_of(F.col("ts")), ["ts", "event_id"], size=100)
+    """Batches of 100 per event type in time order, from slices of equal size."""
+    rows = assign_batches(t.events, ["event_type"], ["ts", "event_id"], size=100)
     return rows.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "batch")
 
 

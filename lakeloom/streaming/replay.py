@@ -15,10 +15,11 @@ from lakeloom.sources.dead_letters import replay_records, stream_dead_letters
 def in_batches(records: DataFrame, *, size: int = BATCH_SIZE) -> DataFrame:
     """Replayed records with their batch within file and event type.
 
-    The order is that of the file: by block, then by position in the block.
+    The order is that of the file: by block, then by position in the block. A block is
+    bounded by the split size of the reader.
     """
     placed = records.withColumn("_place", F.monotonically_increasing_id())
-    return assign_batches(placed, ["file", "event_type"], F.col("block"), ["_place"], size=size).drop("_place")
+    return assign_batches(placed, ["file", "event_type"], ["_place"], bucket=F.col("block"), size=size).drop("_place")
 
 
 def start_replay(

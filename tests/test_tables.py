@@ -27,8 +27,18 @@ def test_latest_takes_the_greatest_tie_breaker(spark):
 
 def test_numbering_of_a_hot_key(spark):
     rows = spark.range(20_000).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % 20_000).alias("n"))
-    numbered = number_rows(rows, ["k"], F.floor(F.col("n") / 1000), ["n"])
-    assert numbered.filter(F.col("row_number") != F.col("n") + 1).count() == 0
+    for bucket in (F.floor(F.col("n") / 1000), None):
+        numbered = number_rows(rows, ["k"], ["n"], bucket=bucket)
+        assert numbered.filter(F.col("row_number") != F.col("n") + 1).count() == 0
+
+
+def test_numbering_of_copies(spark):
+    """A key of identical rows and a null key still get every number once."""
+    copies = spark.range(5_000).select(F.lit("a").alias("k"), F.lit(1).alias("n"))
+    rows = copies.unionByName(spark.range(700).select(F.lit(None).cast("string").alias("k"), F.lit(1).alias("n")))
+    numbered = number_rows(rows, ["k"], ["n"])
+    found = numbered.groupBy("k").agg(F.count_distinct("row_number").alias("d"), F.max("row_number").alias("m")).collect()
+    assert sorted((r.k or "", r.d, r.m) for r in found) == [("", 700, 700), ("a", 5000, 5000)]
 
 
 def test_close_names_equal_brute_force(spark):
