@@ -11,8 +11,10 @@ from lakeloom.operators.environment import MEASURES, environmental_hours
 from lakeloom.operators.latest import drop_duplicates_on, latest_by_key
 from lakeloom.operators.spine import hour_spans, hour_spine
 from lakeloom.plans.dim_subgroup import dim_subgroup
-from lakeloom.plans.patient_hours import patient_hours
+from lakeloom.plans.patient_hours import PARTITIONS, patient_hours, write as write_hours
 from lakeloom.queries.base import SQL_ISO_US, Tables, iso_us, query
+from lakeloom.session import scratch_dir
+from lakeloom.sinks.tables import stale_partitions, upsert
 
 JANUARY = Period(2024, 1)
 def now() -> Column:
@@ -329,6 +331,30 @@ def hours_of_patients(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "patient_hours_table",
+    f"""
+    SELECT group_id, date_year, date_month, date_day, location_strategy, count(*) AS hours,
+           count(weather_pm25) AS with_air, count(weather_pressure) AS with_weather
+    FROM ({PATIENT_HOURS_SQL}) WHERE group_id <> 'g3' GROUP BY ALL
+    """,
+)
+def hours_table(t: Tables) -> DataFrame:
+    """The job's output written by partition; a group that vanished is reported as stale and left out."""
+    path = scratch_dir(t.spark, "patient-hours")
+    rows = hours_of_patients(t)
+    write_hours(rows, path)
+    table = t.spark.read.parquet(path)
+    fresh = table.filter(F.col("group_id") != "g3")
+    stale = stale_partitions(table, fresh, PARTITIONS, year=JANUARY.year, month=JANUARY.month)
+    kept = table.join(stale, PARTITIONS, "left_anti")
+    return kept.groupBy("group_id", "date_year", "date_month", "date_day", "location_strategy").agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.count("weather_pm25").alias("with_air"),
+        F.count("weather_pressure").alias("with_weather"),
+    )
+
+
 @query(
     "struct_flatten",
     f"""
@@ -412,3 +438,28 @@ def change_dim(t: Tables) -> DataFrame:
     dimension = dim_subgroup(_changes(t, "signup"), _changes(t, "click"), _changes(t, "error"), region="eu")
     stamps = ("created_datetime", "deleted_datetime", "datetime_modified")
     return dimension.withColumns({c: iso_us(c) for c in stamps})
+
+
+@query(
+    "change_dim_upsert",
+    """
+    WITH c AS (
+        SELECT 's' || user_id AS subgroup_id, event_type, date_trunc('milliseconds', ts) AS at_ts FROM events),
+    fresh AS (
+        SELECT subgroup_id, true AS deleted, strftime(max(at_ts), '%Y-%m-%dT%H:%M:%S.%f') AS datetime_modified
+        FROM c WHERE event_type = 'error' GROUP BY subgroup_id),
+    old AS (
+        SELECT subgroup_id, false AS deleted, strftime(max(at_ts), '%Y-%m-%dT%H:%M:%S.%f') AS datetime_modified
+        FROM c WHERE event_type IN ('signup', 'click') GROUP BY subgroup_id)
+    SELECT * FROM fresh UNION ALL SELECT * FROM old WHERE subgroup_id NOT IN (SELECT subgroup_id FROM fresh)
+    """,
+)
+def change_dim_upsert(t: Tables) -> DataFrame:
+    """A dimension of creations and updates, then the rows of later deletions upserted into it."""
+    nothing = _changes(t, "none")
+    path = scratch_dir(t.spark, "dim")
+    old = dim_subgroup(_changes(t, "signup"), _changes(t, "click"), nothing, region="eu")
+    old.write.parquet(path)
+    fresh = dim_subgroup(nothing, nothing, _changes(t, "error"), region="eu")
+    upsert(path, fresh, ["subgroup_id"])
+    return t.spark.read.parquet(path).select("subgroup_id", "deleted", iso_us("datetime_modified").alias("datetime_modified"))

@@ -68,7 +68,8 @@ def full_refresh(rows: DataFrame, target: str, *, fmt: str = "parquet") -> None:
     spark = rows.sparkSession
     stage = scratch_dir(spark, "stage")
     rows.write.mode("overwrite").format(fmt).save(stage)
-    spark.read.format(fmt).schema(rows.schema).load(stage).write.mode("overwrite").format(fmt).save(target)
+    staged = spark.read.format(fmt).schema(rows.schema).load(stage)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(target)
 
 
 def refresh_table(rows: DataFrame, table: str, *, fmt: str = "parquet") -> None:
