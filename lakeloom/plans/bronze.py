@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from lakeloom.mapping.compiler import good_rows, map_events, rejected_rows
-from lakeloom.mapping.registry import MAPPINGS
+from lakeloom.mapping.registry import EVENT_TYPES, MAPPINGS
 from lakeloom.operators.routing import split_quarantine
 from lakeloom.sinks.tables import write_partitions
 
@@ -22,22 +22,29 @@ def bronze_rejects(envelopes: DataFrame, name: str) -> DataFrame:
     return rejected_rows(map_events(envelopes, MAPPINGS[name]))
 
 
-def write_bronze(envelopes: DataFrame, root: str, *, tables: list[str] | None = None) -> None:
-    """Write every bronze table of a decoded feed by month, and the rejects.
+def tables_present(envelopes: DataFrame, tables: list[str] | None = None) -> list[str]:
+    """The bronze tables that a feed has rows for; at most one name per known event type is collected."""
+    known = envelopes.filter(F.col("event_type").isin(list(EVENT_TYPES))).select("event_type").distinct()
+    found = {EVENT_TYPES[row.event_type].name for row in known.collect()}
+    return [name for name in (tables or list(MAPPINGS)) if name in found]
 
-    The decoded feed is kept on the executors' disks while the tables are written; lost
-    blocks are decoded again. A feed partitioned by event type needs no such copy: read
-    one type per call instead, and the partition filter leaves the rest untouched.
+
+def write_bronze(envelopes: DataFrame, root: str, *, run: str, tables: list[str] | None = None) -> None:
+    """Write every bronze table of a decoded feed by month and run, and the rejects.
+
+    A repeated ``run`` replaces its own rows and no others. The decoded feed is kept on
+    the executors' disks while the tables are written; lost blocks are decoded again. A
+    feed partitioned by event type needs no such copy: pass one type per call instead,
+    and the partition filter leaves the rest unread.
     """
-    kept = envelopes.persist(StorageLevel.DISK_ONLY)
+    kept = envelopes.withColumn("run", F.lit(run)).persist(StorageLevel.DISK_ONLY)
     try:
         good, bad = split_quarantine(kept)
-        bad.write.mode("append").parquet(f"{root}/_rejected/envelope")
-        for name in tables or list(MAPPINGS):
-            mapped = map_events(good, MAPPINGS[name])
-            write_partitions(good_rows(mapped), f"{root}/{name}", MONTH)
-            rejected_rows(mapped).withColumn("bronze_table", F.lit(name)).write.mode("append").parquet(
-                f"{root}/_rejected/mapping"
-            )
+        write_partitions(bad.withColumn("run", F.lit(run)), f"{root}/_rejected/envelope", ["run"])
+        for name in tables_present(kept, tables):
+            mapped = map_events(good, MAPPINGS[name], keep=["run"])
+            write_partitions(good_rows(mapped), f"{root}/{name}", [*MONTH, "run"])
+            rejected = rejected_rows(mapped).withColumns({"bronze_table": F.lit(name), "run": F.lit(run)})
+            write_partitions(rejected, f"{root}/_rejected/mapping", ["bronze_table", "run"])
     finally:
         kept.unpersist()

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeloom.mapping.compiler import good_rows, map_events, rejected_rows
 from lakeloom.mapping.registry import MAPPINGS
 from lakeloom.operators.routing import split_quarantine
+from lakeloom.plans.bronze import tables_present
 from lakeloom.sources.envelopes import decode_envelopes
 
 
@@ -18,7 +19,7 @@ def write_bronze_batch(records: DataFrame, batch_id: int, root: str, *, column:
     try:
         good, bad = split_quarantine(envelopes)
         _write(bad, batch_id, f"{root}/_rejected/envelope")
-        for name in tables:
+        for name in tables_present(good, tables):
             mapped = map_events(good, MAPPINGS[name])
             _write(good_rows(mapped), batch_id, f"{root}/{name}", "date_year", "date_month")
             _write(rejected_rows(mapped), batch_id, f"{root}/_rejected/{name}")

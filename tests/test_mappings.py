@@ -10,7 +10,7 @@ from lakeloom.mapping import registry
 from lakeloom.mapping.compiler import good_rows, map_events, rejected_rows
 from lakeloom.mapping.spec import Mapping, if_missing, if_null, listing, optional, required
 from lakeloom.operators.routing import split_quarantine
-from lakeloom.plans.bronze import bronze_table, write_bronze
+from lakeloom.plans.bronze import bronze_table, tables_present, write_bronze
 from lakeloom.session import scratch_dir
 from lakeloom.sources.envelopes import decode_envelopes
 
@@ -202,10 +202,14 @@ def test_bronze_job(spark):
     good, bad = split_quarantine(envelopes)
     assert (good.count(), bad.count()) == (2, 2)
     root = scratch_dir(spark, "bronze")
-    write_bronze(envelopes, root, tables=["sensor_sync", "act"])
+    for _ in range(2):  # a repeated run replaces itself
+        write_bronze(envelopes, root, run="r1", tables=["sensor_sync", "act"])
     written = spark.read.parquet(f"{root}/sensor_sync").collect()
     assert [(r.mac, r.medication_id, r.date_year, r.date_month) for r in written] == [("m", "1", 2020, 1)]
     assert spark.read.parquet(f"{root}/_rejected/mapping").filter(F.col("bronze_table") == "sensor_sync").count() == 1
     assert spark.read.parquet(f"{root}/_rejected/envelope").count() == 2
+    write_bronze(envelopes, root, run="r2")
+    assert spark.read.parquet(f"{root}/sensor_sync").count() == 2
+    assert tables_present(envelopes) == ["sensor_sync"]
     assert bronze_table(good, "sensor_sync").count() == 1
     assert good_rows(map_events(envelopes, registry.MAPPINGS["act"])).count() == 0
