@@ -21,11 +21,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces that a worker remembers; the memory is emptied when it is full.
-CACHED_PIECES = 2_000_000
+CACHED_PIECES = 600_000
 #: Bytes of text that are cut up at once.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _SPACE = np.zeros(256, bool)
@@ -211,12 +212,21 @@ def encoder(path: str, lowers: bool) -> PieceEncoder:
     return PieceEncoder(path, lowers)
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20):
+    """Parts of a batch with about ``size`` bytes of text each, one row at least."""
+    if not batch.num_rows:
+        return
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(lengths) // size
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def encoded_batches(batches, path: str, lowers: bool, end: int):
     """For each Arrow batch with a column ``text``: the batch and the ids of each row, its end id included."""
     own = encoder(path, lowers)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (part for whole in batches for part in slices(whole, "text")):
         parts, counts = own.encode(batch.column("text").to_pylist())
         ids = np.concatenate(parts)
         places = np.cumsum(counts)
