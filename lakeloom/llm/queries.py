@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import packing, token_file
+from lakeloom.llm import arc, packing, sharding, token_file
 from lakeloom.llm.common import read_table
 from lakeloom.llm.token_file import tokenizer_path
 from lakeloom.session import in_utc
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_table(in_utc(spark), sf_dir, "documents"), 40)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.round_trip(read_table(in_utc(spark), sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(in_utc(spark), sf_dir, "documents")
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), lowers=False, end=2)
@@ -22,6 +30,6 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op3_packing, op6_token_file)
+    q.__name__: q for q in (op1_sharding, op3_packing, op4_warc, op6_token_file)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_warc": arc.SQL}
