@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import arc, digest, langid, packing, sharding, simhash, token_file
+from lakeloom.llm import arc, digest, katz, langid, packing, sharding, simhash, token_file
 from lakeloom.llm.common import read_table
 from lakeloom.llm.token_file import tokenizer_path
 from lakeloom.session import in_utc
@@ -32,6 +32,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(in_utc(spark), sf_dir, "documents"))
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(read_table(in_utc(spark), sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(in_utc(spark), sf_dir, "documents")
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), lowers=False, end=2)
@@ -42,6 +46,6 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_sharding, op2_language, op3_packing, op4_warc, op6_token_file, op8_simhash, op10_digest)
+    q.__name__: q for q in (op1_sharding, op2_language, op3_packing, op4_warc, op6_token_file, op7_katz, op8_simhash, op10_digest)
 }
 ORACLES: dict[str, str] = {"op4_warc": arc.SQL}
