@@ -27,13 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakeloom.llm.common import parts_for, staged
+from lakeloom.llm.common import staged
 from lakeloom.llm.packed import packed, unpacked
 from lakeloom.session import scratch_dir
 
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM  # a string starts this many bytes before its anchor at most
-BLOCK_BYTES, ROWS_PER_BUCKET = 6 << 20, 1 << 20
+BLOCK_BYTES, PART_BYTES, ROWS_PER_BUCKET = 4 << 20, 1 << 19, 1 << 19
 _LAST = (1 << 63) - 1
 
 
@@ -154,20 +154,22 @@ class Anchors:
     """Anchors of documents laid one behind the other: place, hash, first and last string start."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        n = len(data)
-        self.at = self.first = self.last = np.zeros(0, np.int64)
-        self.hash = np.zeros(0, np.uint64)
-        if n < LENGTH:
-            return
-        room = np.diff(offsets) - LENGTH + 1
-        inside = np.zeros(n + 1, np.int64)
-        some = room > 0
-        np.add.at(inside, offsets[:-1][some], 1)
-        np.add.at(inside, (offsets[:-1] + room)[some], -1)
-        valid = np.flatnonzero(np.cumsum(inside[: n - LENGTH + 1]) > 0)
-        h = gram_hashes(data)
-        keys = (h & ~np.uint64(0xFFFFFF)) | np.arange(len(h), dtype=np.uint64)
-        best = keys
+        room = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
+        parts = [self._part(data, offsets[:-1], room, a) for a in range(0, max(0, len(data) - LENGTH + 1), PART_BYTES)]
+        self.at, self.first, self.last = (np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in range(3))
+        self.hash = np.concatenate([np.zeros(0, np.uint64), *(p[3] for p in parts)])
+
+    @staticmethod
+    def _part(data: np.ndarray, starts: np.ndarray, room: np.ndarray, a: int):
+        """Anchors of the strings that start in one part; a part's border may split an anchor's strings into two rows."""
+        b = min(a + PART_BYTES, len(data) - LENGTH + 1)
+        inside = np.zeros(b - a + 1, np.int64)
+        low, high = np.clip(starts, a, b), np.clip(starts + room, a, b)
+        np.add.at(inside, low - a, 1)
+        np.add.at(inside, high - a, -1)
+        valid = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
+        h = gram_hashes(data[a : b + LENGTH - 1])
+        best = (h & ~np.uint64(0xFFFFFF)) | np.arange(len(h), dtype=np.uint64)
         step = 1
         while step * 2 <= REACH + 1:
             best = np.minimum(best[:-step], best[step:])
@@ -175,11 +177,9 @@ class Anchors:
         rest = REACH + 1 - step
         best = np.minimum(best[: len(best) - rest], best[rest:]) if rest else best
         at = (best[valid] & np.uint64(0xFFFFFF)).astype(np.int64)
-        if not len(at):
-            return
-        new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        self.at, self.first, self.last = at[new], valid[new], valid[np.append(new[1:], len(at)) - 1]
-        self.hash = h[self.at]
+        new = np.flatnonzero(np.diff(at, prepend=-1))
+        last = valid[np.append(new[1:], len(at)) - 1] if len(at) else valid
+        return at[new] + a, valid[new] + a, last + a, h[at[new]]
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -227,7 +227,7 @@ class Sorted:
         self.spark = docs.sparkSession
         letters = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.buckets = max(4, -(-int(letters) // 16 // ROWS_PER_BUCKET))  # about an anchor in 16 bytes
-        width = max(4, -(-int(letters) // (4 * BLOCK_BYTES)))
+        width = max(4, -(-int(letters) // (6 * BLOCK_BYTES)))
 
         def blocks(batches):
             from pyspark import TaskContext
@@ -247,10 +247,8 @@ class Sorted:
             for batch in batches:
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                     text = (text or "").encode()
-                    if held and (size + len(text) > 1 << 23):
+                    if held and size + len(text) > 2 * BLOCK_BYTES:
                         yield out()
-                    if len(text) >= 1 << 24:
-                        raise ValueError(f"document {doc_id} has {len(text)} bytes; at most {(1 << 24) - 1} are supported")
                     held.append((doc_id, text))
                     size += len(text)
                     if size >= BLOCK_BYTES:
