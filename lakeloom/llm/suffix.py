@@ -120,34 +120,61 @@ def common_prefixes(symbols: list[int], order: list[int]) -> list[int]:
     return out
 
 
+def _most_common(parts: list[bytes]) -> list[int]:
+    """How long a prefix each part shares with any other one."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out = [0] * len(parts)
+    for i, j in zip(order, order[1:]):
+        a, b = parts[i], parts[j]
+        n = min(len(a), len(b))
+        if a[:n] != b[:n]:
+            n = next(k for k in range(n) if a[k] != b[k])
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
 def owners(contexts: list[bytes], lefts: list[int], docs: list[int]) -> list[list[int]]:
     """For each context the smallest document of each of its strings, from the left.
 
-    ``lefts`` says where the anchor starts. As every string holds the whole anchor, it counts as one symbol.
+    ``lefts`` says where the anchor starts. As every string holds the whole anchor, it counts as one
+    symbol; what a context shares with no other one on either side cannot be in a common string and
+    is left out of the sorting.
     """
+    whole = [[doc] * (len(c) - LENGTH + 1) for c, doc in zip(contexts, docs)]
+    near_left = _most_common([c[:left][::-1] for c, left in zip(contexts, lefts)])
+    near_right = _most_common([c[left + GRAM :] for c, left in zip(contexts, lefts)])
+    cut: dict[tuple[bytes, bytes], list[int]] = {}
+    for i, (c, left) in enumerate(zip(contexts, lefts)):
+        if near_left[i] + near_right[i] >= REACH:
+            cut.setdefault((c[left - near_left[i] : left], c[left + GRAM : left + GRAM + near_right[i]]), []).append(i)
     symbols: list[int] = []
-    firsts, owner = [], []
-    for context, left, doc in zip(contexts, lefts, docs):
+    owner, firsts = [], []
+    for (left, right), own in cut.items():
         firsts.append(len(symbols))
-        part = [b + 3 for b in context[:left]] + [2] + [b + 3 for b in context[left + GRAM :]] + [1]
+        part = [b + 3 for b in left] + [2] + [b + 3 for b in right] + [1]
         symbols += part
-        owner += [doc] * len(part)
-    symbols.append(0)
-    owner.append(_LAST)
-    order = suffix_array(symbols)
-    same = common_prefixes(symbols, order)
-    least = REACH + 1
-    run = [0]
-    for k in range(1, len(order) + 1):
-        if k == len(order) or same[k] < least:
-            if len(run) > 1:
-                best = min(owner[i] for i in run)
-                for i in run:
-                    owner[i] = best
-            run = []
-        if k < len(order):
-            run.append(order[k])
-    return [owner[a : a + len(c) - LENGTH + 1] for a, c in zip(firsts, contexts)]
+        owner += [min(docs[i] for i in own)] * len(part)
+    if len(cut) > 1:
+        symbols.append(0)
+        owner.append(_LAST)
+        order = suffix_array(symbols)
+        same = common_prefixes(symbols, order)
+        run = [0]
+        for k in range(1, len(order) + 1):
+            if k == len(order) or same[k] <= REACH:
+                if len(run) > 1:
+                    best = min(owner[i] for i in run)
+                    for i in run:
+                        owner[i] = best
+                run = []
+            if k < len(order):
+                run.append(order[k])
+    for first, ((left, right), own) in zip(firsts, cut.items()):
+        for i in own:
+            at = lefts[i] - len(left)
+            n = min(len(left) + len(right) - REACH + 1, len(whole[i]) - at)
+            whole[i][at : at + n] = owner[first : first + n]
+    return whole
 
 
 class Anchors:
