@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import arc, digest, katz, langid, packing, sharding, simhash, suffix, token_file
+from lakeloom.llm import arc, decontam, digest, katz, langid, packing, sharding, simhash, suffix, token_file
 from lakeloom.llm.common import read_table
 from lakeloom.llm.token_file import tokenizer_path
 from lakeloom.session import in_utc
@@ -40,6 +40,10 @@ def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removed(read_table(in_utc(spark), sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(read_table(in_utc(spark), sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(in_utc(spark), sf_dir, "documents")
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), lowers=False, end=2)
@@ -50,6 +54,6 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_sharding, op2_language, op3_packing, op4_warc, op6_token_file, op7_katz, op8_simhash, op9_suffix, op10_digest)
+    q.__name__: q for q in (op1_sharding, op2_language, op3_packing, op4_warc, op5_decontamination, op6_token_file, op7_katz, op8_simhash, op9_suffix, op10_digest)
 }
 ORACLES: dict[str, str] = {"op4_warc": arc.SQL}
