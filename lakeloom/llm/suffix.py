@@ -369,9 +369,11 @@ def _steps(lengths: np.ndarray) -> np.ndarray:
 
 def _documents(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes, and whether more than one document of the block has them."""
+    if not len(hashes):
+        return hashes, np.zeros(0, bool)
     order = np.lexsort((doc, hashes))
     hashes, doc = hashes[order], doc[order]
-    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
     ends = np.append(first[1:], len(hashes)) - 1
     return hashes[first], doc[ends] != doc[first]
 
