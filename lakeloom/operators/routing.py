@@ -11,9 +11,17 @@ from lakeloom.mapping.registry import EVENT_TYPES
 REPLAY = "replay"
 
 # The events whose payloads the adherence consumer wants.
-ADHERENCE_GROUPS = ["sensor_event", "medication", "datalake_message"]
-ADHERENCE_ACTIONS = ["created", "updated", "deleted"]
-ADHERENCE_TYPES = [f"{g}_{a}" for g in ADHERENCE_GROUPS for a in ADHERENCE_ACTIONS]
+ADHERENCE_TYPES = [
+    "sensor_event_created",
+    "sensor_event_updated",
+    "sensor_event_deleted",
+    "medication_created",
+    "medication_updated",
+    "medication_deleted",
+    "datalake_message_created",
+    "datalake_message_updated",
+    "datalake_message_deleted",
+]
 
 DAY_MICROS = 86_400_000_000
 
