@@ -13,8 +13,8 @@ FAILED_SUFFIX = "processing-failed"
 
 
 def failed_event(path: Column) -> Column:
-    """Event name of an error file: its folder without the suffix."""
-    return F.regexp_extract(path, rf"([^/]+){FAILED_SUFFIX}/[^/]*$", 1)
+    """Event name of an error file: its feed folder without the suffix, dated folders below it or not."""
+    return F.regexp_extract(path, rf"([^/]+){FAILED_SUFFIX}/", 1)
 
 
 def read_dead_letters(spark: SparkSession, prefix: str) -> DataFrame:
