@@ -15,10 +15,10 @@ def map_events(envelopes: DataFrame, mapping: Mapping, *, keep=()) -> DataFrame:
     """One row per envelope of the mapping's event types, plus an ``_errors`` array.
 
     Rows with a non-empty ``_errors`` are for quarantine: their columns hold what
-    could be read.
+    could be read. ``keep`` names further columns, ``event_type`` among them.
     """
     typed = envelopes.filter(F.col("event_type").isin(list(mapping.event_types))).select(
-        *keep,
+        *(k for k in keep if k != "event_type"),
         "user_id",
         "group_id",
         iso_ms(F.col("call_ts")).alias("call_time"),
@@ -83,8 +83,8 @@ def good_rows(mapped: DataFrame) -> DataFrame:
     return mapped.filter(F.size("_errors") == 0).drop("_errors")
 
 
-def rejected_rows(mapped: DataFrame) -> DataFrame:
+def rejected_rows(mapped: DataFrame, *, keep=()) -> DataFrame:
     """Ids and reasons only: payloads may hold personal data and are not copied."""
     return mapped.filter(F.size("_errors") > 0).select(
-        "user_id", "group_id", "call_time", "pub_sub_event_id", F.col("_errors").alias("errors")
+        *keep, "user_id", "group_id", "call_time", "pub_sub_event_id", F.col("_errors").alias("errors")
     )

@@ -88,17 +88,20 @@ def known_type(event_type: Column | None = None) -> Column:
     return F.coalesce(event_type.isin(list(EVENT_TYPES)), F.lit(False))
 
 
-def with_routing_errors(envelopes: DataFrame) -> DataFrame:
-    """Envelope errors plus ``unknown event type``."""
-    extra = F.when(~known_type(), F.lit("unknown event type"))
+def with_routing_errors(envelopes: DataFrame, tables: list[str] | None = None) -> DataFrame:
+    """Envelope errors plus ``unknown event type``, and ``table not listed`` for types of other tables than ``tables``."""
+    extra = [F.when(~known_type(), F.lit("unknown event type"))]
+    if tables is not None:
+        listed = [t for t, m in EVENT_TYPES.items() if m.name in tables]
+        extra.append(F.when(known_type() & ~F.col("event_type").isin(listed), F.lit("table not listed")))
     return envelopes.withColumn(
-        "envelope_errors", F.concat(F.col("envelope_errors"), F.array_compact(F.array(extra)))
+        "envelope_errors", F.concat(F.col("envelope_errors"), F.array_compact(F.array(*extra)))
     )
 
 
-def split_quarantine(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_quarantine(envelopes: DataFrame, tables: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Usable envelopes, and the ids and reasons of the others."""
-    checked = with_routing_errors(envelopes)
+    checked = with_routing_errors(envelopes, tables)
     good = checked.filter(F.size("envelope_errors") == 0)
     bad = checked.filter(F.size("envelope_errors") > 0).select(
         "user_id",

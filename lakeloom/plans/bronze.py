@@ -32,19 +32,20 @@ def tables_present(envelopes: DataFrame, tables: list[str] | None = None) -> lis
 def write_bronze(envelopes: DataFrame, root: str, *, run: str, tables: list[str] | None = None) -> None:
     """Write every bronze table of a decoded feed by month and run, and the rejects.
 
-    A repeated ``run`` replaces its own rows and no others. The decoded feed is kept on
+    Rows keep their event type, as the first partition. Known types whose table is not among
+    ``tables`` go to the rejects. A repeated ``run`` replaces its own rows and no others. The decoded feed is kept on
     the executors' disks while the tables are written; lost blocks are decoded again. A
     feed partitioned by event type needs no such copy: pass one type per call instead,
     and the partition filter leaves the rest unread.
     """
     kept = envelopes.withColumn("run", F.lit(run)).persist(StorageLevel.DISK_ONLY)
     try:
-        good, bad = split_quarantine(kept)
+        good, bad = split_quarantine(kept, tables)
         write_partitions(bad.withColumn("run", F.lit(run)), f"{root}/_rejected/envelope", ["run"])
         for name in tables_present(kept, tables):
-            mapped = map_events(good, MAPPINGS[name], keep=["run"])
-            write_partitions(good_rows(mapped), f"{root}/{name}", [*MONTH, "run"])
-            rejected = rejected_rows(mapped).withColumns({"bronze_table": F.lit(name), "run": F.lit(run)})
+            mapped = map_events(good, MAPPINGS[name], keep=["run", "event_type"])
+            write_partitions(good_rows(mapped), f"{root}/{name}", ["event_type", *MONTH, "run"])
+            rejected = rejected_rows(mapped, keep=["event_type"]).withColumns({"bronze_table": F.lit(name), "run": F.lit(run)})
             write_partitions(rejected, f"{root}/_rejected/mapping", ["bronze_table", "run"])
     finally:
         kept.unpersist()

@@ -395,7 +395,38 @@ def bronze_stream(t: Tables) -> DataFrame:
     stream = t.spark.readStream.schema("event_id bigint, data string").option("maxFilesPerTrigger", 2).parquet(source)
     for _ in range(2):
         start_bronze(stream, root, checkpoint, tables=["sensor_sync"]).awaitTermination()
-    return shown(t.spark.read.parquet(f"{root}/sensor_sync").drop("batch_id"))
+    return shown(t.spark.read.parquet(f"{root}/sensor_sync").drop("event_type", "stream", "batch_id"))
+
+
+@query(
+    "stream_bronze_two_feeds",
+    f"""
+    SELECT user_id, group_id, call_time, pub_sub_event_id, mac, mid AS medication_id, date_year, date_month
+    FROM {source_sql(SYNC_TYPES, SYNC_BODY)} WHERE mid IS NOT NULL OR x
+    """,
+)
+def bronze_two_feeds(t: Tables) -> DataFrame:
+    """Two streams with checkpoints of their own fill one table; both are started again."""
+    rows, root = records(t, SYNC_TYPES, SYNC_BODY), scratch_dir(t.spark, "bronze")
+    feeds = [(_record_files(rows.filter(F.col("event_id") % 2 == n), "records"), scratch_dir(t.spark, "checkpoint")) for n in (0, 1)]
+    for source, checkpoint in feeds * 2:
+        stream = t.spark.readStream.schema("event_id bigint, data string").parquet(source)
+        start_bronze(stream, root, checkpoint, tables=["sensor_sync"]).awaitTermination()
+    return shown(t.spark.read.parquet(f"{root}/sensor_sync").drop("event_type", "stream", "batch_id"))
+
+
+@query("upsert_partitioned", UPSERT_SQL.replace("customer", "(SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer)"))
+def upsert_partitioned(t: Tables) -> DataFrame:
+    """A partitioned table stays partitioned; rows are read from its partition folders."""
+    path = scratch_dir(t.spark, "customer")
+    t.customer.select(*CUSTOMER).write.partitionBy("c_mktsegment").parquet(path)
+    upsert(path, _stage(t).select(*CUSTOMER), ["c_custkey"])
+    segments = [r.c_mktsegment for r in t.customer.select("c_mktsegment").distinct().collect()]
+    parts = [t.spark.read.parquet(f"{path}/c_mktsegment={s}").withColumn("c_mktsegment", F.lit(s)) for s in segments]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
 
 
 @query(

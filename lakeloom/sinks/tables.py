@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.operators.joins import upserted
-from lakeloom.session import scratch_dir
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -59,17 +58,60 @@ def _sql_literal(value) -> str:
 
 
 def full_refresh(rows: DataFrame, target: str, *, fmt: str = "parquet") -> None:
-    """Replace a path: write a complete stage first, then the target from the stage.
+    """Replace a path: write a complete copy beside it, then exchange the names.
 
-    The stage lies in the shared scratch folder. If the job dies while the target is
-    being replaced, the next run starts from a full result again; ``rows`` may
-    therefore read the target itself.
+    ``rows`` may read the target itself, and are computed and written once. Until the copy is
+    complete the target is untouched; a job that dies between the two renames is finished by
+    ``recover``, which every refresh and upsert calls first. The target's partition columns
+    are kept.
     """
     spark = rows.sparkSession
-    stage = scratch_dir(spark, "stage")
-    rows.write.mode("overwrite").format(fmt).save(stage)
-    staged = spark.read.format(fmt).schema(rows.schema).load(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(target)
+    recover(spark, target)
+    files, path, stage, old = _places(spark, target)
+    keys = _partition_keys(files, path)
+    writer = (rows.hint("rebalance", *keys) if keys else rows).write.mode("overwrite").format(fmt)
+    writer = writer.option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*keys) if keys else writer).save(stage.toString())
+    if files.exists(path):
+        _rename(files, path, old)
+    _rename(files, stage, path)
+    files.delete(old, True)
+    spark.catalog.refreshByPath(target)
+
+
+def recover(spark: SparkSession, target: str) -> None:
+    """Finish a refresh that died between its renames; a target that is there is left alone."""
+    files, path, stage, old = _places(spark, target)
+    if files.exists(path):
+        files.delete(old, True)
+    elif files.exists(old):  # the target was moved away, so the stage was complete
+        _rename(files, stage if files.exists(stage) else old, path)
+        files.delete(old, True)
+
+
+def _places(spark: SparkSession, target: str):
+    """The target's file system, and the paths of the target, its next and its last version."""
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    base = target.rstrip("/")
+    path = name(base)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path, name(f"{base}__next"), name(f"{base}__last")
+
+
+def _rename(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
+
+
+def _partition_keys(files, path) -> list[str]:
+    """Partition columns of the files below a path, from its folder names."""
+    keys = []
+    while files.exists(path):
+        inner = [s.getPath() for s in files.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not inner:
+            break
+        path = inner[0]
+        keys.append(path.getName().split("=", 1)[0])
+    return keys
 
 
 def refresh_table(rows: DataFrame, table: str, *, fmt: str = "parquet") -> None:
@@ -87,5 +129,6 @@ def refresh_table(rows: DataFrame, table: str, *, fmt: str = "parquet") -> None:
 
 def upsert(target_path: str, stage: DataFrame, keys: list[str], *, fmt: str = "parquet") -> None:
     """Delete the target rows that match the stage on all keys, insert all stage rows."""
+    recover(stage.sparkSession, target_path)
     target = stage.sparkSession.read.format(fmt).load(target_path)
     full_refresh(upserted(target, stage, keys), target_path, fmt=fmt)

@@ -29,9 +29,10 @@ def read_months(table: DataFrame, year: int, month: int, *, lookback_days: int =
     return table.filter(this | last)
 
 
-def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All rows of one bronze table below ``root``."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{table}")
+def read_bronze(spark: SparkSession, root: str, table: str, *, event_types: list[str] | None = None) -> DataFrame:
+    """The rows of one bronze table below ``root``; ``event_types`` is a partition filter."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/{table}")
+    return rows if event_types is None else rows.filter(F.col("event_type").isin(event_types))
 
 
 def read_warehouse(spark: SparkSession, table: str, *, url: str | None = None, path: str | None = None, **options: str) -> DataFrame:

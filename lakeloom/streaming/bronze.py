@@ -11,28 +11,29 @@ from lakeloom.mapping.registry import MAPPINGS
 from lakeloom.operators.routing import split_quarantine
 from lakeloom.plans.bronze import tables_present
 from lakeloom.sources.envelopes import decode_envelopes
+from lakeloom.streaming.names import stream_name
 
 
-def write_bronze_batch(records: DataFrame, batch_id: int, root: str, *, column: str, tables: list[str], event_type: Column | None = None) -> None:
-    """Map one micro-batch; the partition of a repeated batch replaces itself."""
+def write_bronze_batch(records: DataFrame, batch_id: int, root: str, *, stream: str, column: str, tables: list[str] | None, event_type: Column | None = None) -> None:
+    """Map one micro-batch; the partitions of a stream's repeated batch replace themselves."""
     envelopes = decode_envelopes(records, column, event_type=event_type).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        good, bad = split_quarantine(envelopes)
-        _write(bad, batch_id, f"{root}/_rejected/envelope")
+        good, bad = split_quarantine(envelopes, tables)
+        _write(bad, stream, batch_id, f"{root}/_rejected/envelope")
         for name in tables_present(good, tables):
-            mapped = map_events(good, MAPPINGS[name])
-            _write(good_rows(mapped), batch_id, f"{root}/{name}", "date_year", "date_month")
-            _write(rejected_rows(mapped), batch_id, f"{root}/_rejected/{name}")
+            mapped = map_events(good, MAPPINGS[name], keep=["event_type"])
+            _write(good_rows(mapped), stream, batch_id, f"{root}/{name}", "event_type", "date_year", "date_month")
+            _write(rejected_rows(mapped, keep=["event_type"]), stream, batch_id, f"{root}/_rejected/{name}")
     finally:
         envelopes.unpersist()
 
 
-def _write(rows: DataFrame, batch_id: int, path: str, *partitions: str) -> None:
+def _write(rows: DataFrame, stream: str, batch_id: int, path: str, *partitions: str) -> None:
     (
-        rows.withColumn("batch_id", F.lit(batch_id))
+        rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions, "batch_id")
+        .partitionBy(*partitions, "stream", "batch_id")
         .parquet(path)
     )
 
@@ -45,18 +46,20 @@ def start_bronze(
     column: str = "data",
     tables: list[str] | None = None,
     event_type: Column | None = None,
+    name: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the mapping of a record stream.
 
-    Name the ``tables`` that the feed can hold: a feed of one event type needs one.
+    Name the ``tables`` that the feed can hold: a feed of one event type needs one. Rows of
+    other tables go to the rejects. Many feeds may run side by side into one root.
     """
-    names = tables or list(MAPPINGS)
+    stream = stream_name(checkpoint, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_bronze_batch(batch, batch_id, root, column=column, tables=names, event_type=event_type)
+        write_bronze_batch(batch, batch_id, root, stream=stream, column=column, tables=tables, event_type=event_type)
 
-    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName("bronze")
+    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(f"bronze-{stream}")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

@@ -8,13 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeloom.operators.routing import adherence_subset, latency_rows, raw_tee, typed_feed
 from lakeloom.sources.envelopes import decode_payload, envelope_columns
+from lakeloom.streaming.names import stream_name
 
 SINKS = ("typed", "raw", "adherence", "latency", "rejected")
 
 
-def feeds(records: DataFrame, column: str, received) -> dict[str, DataFrame]:
-    """The five outputs of one set of records, from one decoding."""
-    decoded = decode_payload(records, column)
+def feeds(decoded: DataFrame, received) -> dict[str, DataFrame]:
+    """The five outputs of one set of decoded records."""
     envelopes = envelope_columns(decoded, keep=[F.to_json("payload").alias("data")])
     good = envelopes.filter(F.size("envelope_errors") == 0)
     typed = typed_feed(good).select("event_type", "pub_sub_event_id", "data")
@@ -30,19 +30,20 @@ def feeds(records: DataFrame, column: str, received) -> dict[str, DataFrame]:
     }
 
 
-def write_feeds(records: DataFrame, batch_id: int, root: str, column: str = "body", received=None) -> None:
+def write_feeds(records: DataFrame, batch_id: int, root: str, *, stream: str, column: str = "body", received=None) -> None:
     """Write one micro-batch to all sinks.
 
-    Every sink is partitioned by ``batch_id`` first and overwrites only the partitions
-    it writes, so a batch that is repeated after a failure replaces itself.
+    The records are decoded once and kept for the sinks. Every sink is partitioned by the
+    stream's name and ``batch_id`` first and overwrites only the partitions it writes, so a
+    batch that is repeated after a failure replaces itself.
     """
     received = F.current_timestamp() if received is None else received
-    kept = records.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = decode_payload(records, column).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for name, rows in feeds(kept, column, received).items():
-            partitions = ["batch_id", "event_type"] if name == "typed" else ["batch_id"]
+        for name, rows in feeds(kept, received).items():
+            partitions = ["stream", "batch_id", "event_type"] if name == "typed" else ["stream", "batch_id"]
             (
-                rows.withColumn("batch_id", F.lit(batch_id))
+                rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)})
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*partitions)
@@ -52,11 +53,12 @@ def write_feeds(records: DataFrame, batch_id: int, root: str, column: str = "bod
         kept.unpersist()
 
 
-def start_fanout(records: DataFrame, root: str, checkpoint: str, *, column: str = "body", received=None, available_now: bool = True) -> StreamingQuery:
-    """Start the fan-out of a record stream."""
+def start_fanout(records: DataFrame, root: str, checkpoint: str, *, column: str = "body", received=None, name: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Start the fan-out of a record stream; many may run side by side into one root."""
+    stream = stream_name(checkpoint, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_feeds(batch, batch_id, root, column, received)
+        write_feeds(batch, batch_id, root, stream=stream, column=column, received=received)
 
-    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName("fanout")
+    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(f"fanout-{stream}")
     return (writer.trigger(availableNow=True) if available_now else writer).start()

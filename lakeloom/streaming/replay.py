@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeloom.operators.latest import assign_batches
 from lakeloom.sinks.records import BATCH_SIZE
 from lakeloom.sources.dead_letters import replay_records, stream_dead_letters
+from lakeloom.streaming.names import stream_name
 
 
 def in_batches(records: DataFrame, *, size: int = BATCH_SIZE) -> DataFrame:
@@ -29,32 +30,39 @@ def start_replay(
     checkpoint: str,
     *,
     archive: str | None = None,
+    name: str | None = None,
     deliver: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Replay every error file once.
 
     The checkpoint remembers the files, so a restart adds nothing. With ``archive`` the
     files are moved there after their batch is committed, instead of being deleted.
+    Letters that cannot be decoded are not delivered: ``<out>_rejected`` names their file and
+    block.
     """
+    stream = stream_name(checkpoint, name)
     options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
     letters = stream_dead_letters(spark, prefix, **options)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = replay_records(batch).drop("payload")
-        (
-            records.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", "feed")
-            .parquet(out)
-        )
+        decoded = replay_records(batch).drop("payload")
+        records = decoded.filter(F.col("data").isNotNull())
+        lost = decoded.filter(F.col("data").isNull()).select("file", "block", "feed", F.lit("payload: not base64 JSON").alias("error"))
+        for rows, path in ((records, out), (lost, f"{out.rstrip('/')}_rejected")):
+            (
+                rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)})
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("stream", "batch_id", "feed")
+                .parquet(path)
+            )
         if deliver is not None:
             deliver(records, batch_id)
 
     return (
         letters.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .queryName("replay")
+        .queryName(f"replay-{stream}")
         .trigger(availableNow=True)
         .start()
     )
