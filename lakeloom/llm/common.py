@@ -10,6 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lakeloom.session import scratch_dir
 
 
+#: Rows and bytes of an Arrow batch in jobs that send whole texts to Python and back.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Smaller Arrow batches: both sides of the Python workers keep buffers of the largest batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the cluster's shared folder and read it back, which also cuts the lineage."""
     path = scratch_dir(df.sparkSession, label)
