@@ -257,6 +257,18 @@ def test_replayed_files_are_archived(spark, tmp_path):
     assert (letters / "one").exists() is False
 
 
+def test_letters_that_cannot_be_decoded_are_kept_apart(spark, tmp_path):
+    letters = tmp_path / "in" / "act_createdprocessing-failed" / "2024" / "01"
+    letters.mkdir(parents=True)
+    lines = [json.dumps({"rawData": record("act_created", {"score": 1})}), json.dumps({"rawData": "%%"})]
+    (letters / "one").write_text("\n".join(lines))
+    out = str(tmp_path / "out")
+    start_replay(spark, str(tmp_path / "in"), out, str(tmp_path / "checkpoint")).awaitTermination()
+    assert [r.feed for r in spark.read.parquet(out).collect()] == ["act_created-retry"]
+    lost = spark.read.parquet(f"{out}_rejected").collect()
+    assert [(r.feed, r.file.endswith("/one")) for r in lost] == [("act_created-retry", True)]
+
+
 def test_profile(spark):
     found = profile(spark.range(7), sample=2, where=F.col("id") > 5)
     assert (found["count"], [r.id for r in found["sample"]]) == (7, [6])
