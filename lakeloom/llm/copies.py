@@ -1,0 +1,125 @@
+"""Near copies by the exact Jaccard similarity of word shingles.
+
+Texts that agree wholly are one. Every distinct text gets MinHashes of its shingles in BANDS bands of
+ROWS; texts that share a band are candidates. A pair of similarity 0.8 shares none of the bands with a
+chance of (1 - 0.8 ** ROWS) ** BANDS, three in a million. Candidates are compared shingle by shingle,
+and only links of at least LIKE count.
+
+What shares a band is compared in two steps, so that a large group does not become all of its pairs:
+first everything with the smallest one of the band, then what the links of the first step have left in
+different components. Sizes that cannot reach LIKE are left out before any comparison.
+
+Texts without words are copies of each other. Null doc_ids take part but name no component unless no
+other id is there (then null). Other columns are ignored; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType
+
+from lakeloom.llm.common import staged
+from lakeloom.llm.simhash import SEED, components
+
+BANDS, ROWS, LIKE = 32, 5, 0.8
+_MUL = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Shingles that are hashed at once.
+_CHUNK = 256
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """Distinct shingles' XXH64 in order; a shorter text is one shingle."""
+    import xxhash
+
+    parts = text.encode().lower().split() if text else []
+    if not parts:
+        return np.zeros(0, np.uint64)
+    runs = [parts] if len(parts) < words else zip(*(parts[k:] for k in range(words)))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED)), np.uint64))
+
+
+def bands(found: np.ndarray) -> np.ndarray:
+    """A hash for each band of the MinHashes."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(found), _CHUNK):
+        least = np.minimum(least, (found[a : a + _CHUNK, None] * _MUL).min(0))
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ row) * _MIX
+        keys ^= keys >> np.uint64(29)
+    return keys
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of sorted distinct hashes."""
+    if not len(a) and not len(b):
+        return 1.0
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return common / (len(a) + len(b) - common)
+
+
+def text_id(text: Column) -> Column:
+    """What equal texts share; null is an empty text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def near_groups(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp`` of every row, and ``fp, component_id``: the smallest doc_id that links reach."""
+    rows = docs.select("doc_id", text_id(F.col("text")).alias("fp"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def signed(batches):
+        for batch in batches:
+            sets = [shingles(t, words) for t in batch.column("text").to_pylist()]
+            keys = np.concatenate([np.zeros(0, np.uint64), *map(bands, sets)]).view(np.int64)
+            held = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(keys, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("fp"), pa.array([len(s) for s in sets], pa.int64()), held], names=["doc_id", "fp", "n", "keys"])
+
+    prints = staged(rows.mapInArrow(signed, rows.select("doc_id", "fp").schema.add("n", "long").add("keys", ArrayType(LongType()))), "prints")
+    firsts = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")), "firsts")
+    each = firsts.select("fp", "n", F.explode("keys").alias("key"))
+    several = each.groupBy("key").agg(F.min(F.struct("fp", "n")).alias("least"), F.count("*").alias("times")).where("times > 1")
+    shared = staged(each.join(several, "key").select("key", "fp", "n", F.col("least.fp").alias("least"), F.col("least.n").alias("least_n")), "bands")
+    fits = f"least(n, least_n) >= {LIKE} * greatest(n, least_n)"
+    stars = staged(shared.where("fp <> least").where(fits).select(F.col("least").alias("u"), F.col("fp").alias("v")).distinct(), "stars-tried")
+    edges = staged(_verified(rows, stars, words), "links")
+    roots = components(edges)
+
+    placed = shared.join(roots, shared["fp"] == roots["node"], "left").select("key", "fp", "n", F.coalesce("root", "fp").alias("root"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    placed = staged(placed.join(mixed, "key", "left_semi"), "mixed")
+    other = placed.select("key", F.col("fp").alias("v"), F.col("n").alias("least_n"), F.col("root").alias("other"))
+    apart = placed.join(other, "key").where("fp < v and root <> other").where(fits).select(F.col("fp").alias("u"), "v").distinct()
+    more = _verified(rows, staged(apart.join(stars, ["u", "v"], "left_anti"), "pairs-tried"), words)
+    roots = components(staged(edges.unionByName(more), "links"))
+
+    named = firsts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    return prints.select("doc_id", "fp"), named.join(smallest, "root").select("fp", "component_id")
+
+
+def _verified(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """The pairs ``u, v`` of texts whose shingles are LIKE each other."""
+    needed = pairs.select(F.col("u").alias("fp")).unionByName(pairs.select(F.col("v").alias("fp"))).distinct()
+    wanted = rows.select("fp", "text").join(needed, "fp", "left_semi").dropDuplicates(["fp"])
+
+    def hashed(batches):
+        for batch in batches:
+            found = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(found, pa.binary())], names=["fp", "data"])
+
+    def compared(batches):
+        for batch in batches:
+            a, b = ([np.frombuffer(x.as_py(), np.uint64) for x in batch.column(c)] for c in ("a", "b"))
+            same = pa.array([likeness(x, y) >= LIKE for x, y in zip(a, b)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(same)
+
+    sets = staged(wanted.mapInArrow(hashed, "fp long, data binary"), "shingles")
+    one = pairs.join(sets.select(F.col("fp").alias("u"), F.col("data").alias("a")), "u")
+    both = one.join(sets.select(F.col("fp").alias("v"), F.col("data").alias("b")), "v")
+    return both.select("u", "v", "a", "b").mapInArrow(compared, "u long, v long")
