@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import arc, decontam, digest, katz, langid, packing, sharding, simhash, suffix, token_file
+from lakeloom.llm import arc, decontam, digest, filters, katz, langid, packing, sharding, simhash, suffix, token_file
 from lakeloom.llm.common import read_table
 from lakeloom.llm.token_file import tokenizer_path
 from lakeloom.session import in_utc
@@ -53,7 +53,11 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.digest_query(spark, read_table(in_utc(spark), sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.audit(read_table(in_utc(spark), sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_sharding, op2_language, op3_packing, op4_warc, op5_decontamination, op6_token_file, op7_katz, op8_simhash, op9_suffix, op10_digest)
+    q.__name__: q for q in (op1_sharding, op2_language, op3_packing, op4_warc, op5_decontamination, op6_token_file, op7_katz, op8_simhash, op9_suffix, op10_digest, op11_filter_audit)
 }
-ORACLES: dict[str, str] = {"op4_warc": arc.SQL}
+ORACLES: dict[str, str] = {"op4_warc": arc.SQL, "op11_filter_audit": filters.SQL}
