@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import arc, decontam, digest, filters, katz, langid, packing, sharding, simhash, suffix, token_file
+from lakeloom.llm import arc, decontam, digest, filters, katz, langid, overlap, packing, sharding, simhash, suffix, token_file, trie
 from lakeloom.llm.common import read_table
 from lakeloom.llm.token_file import tokenizer_path
 from lakeloom.session import in_utc
@@ -57,7 +57,15 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.audit(read_table(in_utc(spark), sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.classes(read_table(in_utc(spark), sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes_of(read_table(in_utc(spark), sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_sharding, op2_language, op3_packing, op4_warc, op5_decontamination, op6_token_file, op7_katz, op8_simhash, op9_suffix, op10_digest, op11_filter_audit)
+    q.__name__: q for q in (op1_sharding, op2_language, op3_packing, op4_warc, op5_decontamination, op6_token_file, op7_katz, op8_simhash, op9_suffix, op10_digest, op11_filter_audit, op12_overlap_join, op13_prefix_trie)
 }
-ORACLES: dict[str, str] = {"op4_warc": arc.SQL, "op11_filter_audit": filters.SQL}
+ORACLES: dict[str, str] = {"op4_warc": arc.SQL, "op11_filter_audit": filters.SQL, "op12_overlap_join": overlap.SQL, "op13_prefix_trie": trie.SQL}
