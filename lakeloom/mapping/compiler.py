@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakeloom.functions.nested import compute_once, has_key
 from lakeloom.functions.times import iso_ms
 from lakeloom.mapping.spec import BODY, Mapping, Scope
+from lakeloom.mapping.typecheck import probe_body, type_problems
 
 ENVELOPE_OUTPUT = ["user_id", "group_id", "call_time", "pub_sub_event_id", "date_year", "date_month"]
 
@@ -31,6 +32,9 @@ def map_events(envelopes: DataFrame, mapping: Mapping, *, keep=()) -> DataFrame:
     )
     if mapping.fields:
         typed = compute_once(typed, "typed", typed_body(mapping))
+        probe = probe_body(mapping.shape())
+        if probe is not None:
+            typed = compute_once(typed, "probe", probe)
     fields, errors, group_id = compiled(mapping)
     return typed.select(
         *keep,
@@ -64,17 +68,32 @@ def compiled(mapping: Mapping) -> tuple[list[Column], Column, Column]:
 def _compile(mapping: Mapping) -> tuple[list[Column], Column, Column]:
     scope = Scope(F.col("typed"), F.col("payload"))
     fields = [column.alias(name) for f in mapping.fields for name, column in f.columns(scope)]
-    problems = [problem for f in mapping.fields for problem in f.errors(scope)]
+    problems, lists = _problems(mapping, scope)
     group_id = F.col("group_id")
     if mapping.group_id_from_body:
         group_id = F.try_variant_get("payload", f"{BODY}.id", "string")
         problems.append(F.when(~has_key(F.col("payload"), f"{BODY}.id"), F.lit("missing: id")))
     errors = F.col("envelope_errors")
     if problems:
-        errors = F.concat(errors, F.array_compact(F.array(*problems)))
+        errors = F.concat(errors, F.array_compact(F.array(*problems)), *lists)
     return fields, errors.alias("_errors"), group_id.alias("group_id")
 
 
+def _problems(mapping: Mapping, scope: Scope) -> tuple[list[Column], list[Column]]:
+    """Texts of what is absent or of a wrong type, field by field, and arrays of such texts."""
+    shape, seen = mapping.shape(), set()
+    texts, arrays = [], []
+    for f in mapping.fields:
+        texts += f.errors(scope)
+        for source in f.types():
+            if source not in seen:
+                seen.add(source)
+                own_texts, own_arrays = type_problems(source, shape[source], scope.typed, F.col("probe"), scope.variant)
+                texts += own_texts
+                arrays += own_arrays
+    return texts, arrays
+
+
 def typed_body(mapping: Mapping) -> Column:
     return F.try_variant_get("payload", BODY, mapping.body_type())
 

@@ -19,6 +19,7 @@ from lakeloom.functions.nested import has_key, holds_value, some_lack
 SENTINELS = {
     "string": "-1",
     "int": -1,
+    "cut": -1,
     "bigint": -1,
     "double": -1.0,
     "boolean": False,
@@ -33,9 +34,15 @@ OPTIONAL = "optional"  # null when absent
 
 
 BODY = "$.body"  # where the fields of an event lie in its payload
+CUT = "cut"  # a whole number that drops the fraction of a number, as its sender expects
 
 
 def sql_type(kind: str) -> str:
+    return {"datetime": "string", CUT: "int"}.get(kind, kind)
+
+
+def read_type(kind: str) -> str:
+    """How a kind is known in the shape of a body: dates are text, fractions may be cut."""
     return "string" if kind == "datetime" else kind
 
 
@@ -78,7 +85,7 @@ class Leaf:
     flag: bool = False
 
     def types(self) -> dict:
-        return {s: sql_type(self.kind) for s in self.sources}
+        return {s: read_type(self.kind) for s in self.sources}
 
     def columns(self, scope: Scope) -> list[tuple[str, Column]]:
         value = F.coalesce(*[scope.typed[s] for s in self.sources]) if len(self.sources) > 1 else scope.typed[self.sources[0]]
@@ -96,6 +103,7 @@ class Leaf:
         return F.lit(default).cast(sql_type(self.kind))
 
     def errors(self, scope: Scope) -> list[Column]:
+        """What is absent; wrong types are found for whole bodies (``typecheck``)."""
         if scope.variant is None:
             if self.rule in (REQUIRED, NOT_NULL):
                 return [F.when(scope.typed[self.sources[0]].isNull(), F.lit(f"missing: {self.name}"))]
@@ -107,14 +115,6 @@ class Leaf:
             out.append(F.when(absent & ~scope.has_key(self.sources[0]), F.lit(f"missing: {label}")))
         elif self.rule == NOT_NULL:
             out.append(F.when(absent & ~scope.holds(self.sources[0]), F.lit(f"missing: {label}")))
-        if sql_type(self.kind) != "string":
-            for source in self.sources:
-                out.append(
-                    F.when(
-                        scope.typed[source].isNull() & scope.holds(source),
-                        F.lit(f"type: {label_of(scope, source)}"),
-                    )
-                )
         return out
 
 
@@ -176,7 +176,7 @@ class Listing:
     rule: str = OPTIONAL
 
     def types(self) -> dict:
-        element = merged_types(self.fields) if self.fields else sql_type(self.kind)
+        element = merged_types(self.fields) if self.fields else read_type(self.kind)
         return {s: [element] for s in self.sources}
 
     def items(self, scope: Scope) -> Column:
@@ -289,8 +289,11 @@ class Mapping:
     group_id_from_body: bool = False
     keeps_args: bool = False
 
+    def shape(self) -> dict:
+        return merged_types(self.fields)
+
     def body_type(self) -> str:
-        return ddl(merged_types(self.fields))
+        return ddl(self.shape())
 
 
 def merged_types(fields) -> dict:
@@ -321,7 +324,7 @@ def ddl(kind) -> str:
         return "struct<" + ",".join(f"`{k}`:{ddl(v)}" for k, v in kind.items()) + ">"
     if isinstance(kind, list):
         return f"array<{ddl(kind[0])}>"
-    return kind
+    return sql_type(kind)
 
 
 def with_defaults(f):

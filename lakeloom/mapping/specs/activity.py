@@ -31,20 +31,20 @@ def _not_blank_object(body: Body, name: str) -> Column:
 WEATHER = {
     "pm25": ("pm25", "double"),
     "pm10": ("pm10", "double"),
-    "dew_point": ("dewPoint", "int"),
-    "wind_speed": ("windSpeed", "int"),
+    "dew_point": ("dewPoint", "cut"),
+    "wind_speed": ("windSpeed", "cut"),
     "o3": ("o3", "double"),
     "aqi_category": ("aqiCategory", "string"),
     "no2": ("no2", "double"),
-    "heat_index": ("heatIndex", "int"),
-    "wind_chill": ("windChill", "int"),
+    "heat_index": ("heatIndex", "cut"),
+    "wind_chill": ("windChill", "cut"),
     "co": ("co", "double"),
-    "wind_direction": ("windDirection", "int"),
+    "wind_direction": ("windDirection", "cut"),
     "so2": ("so2", "double"),
-    "aqi": ("aqi", "int"),
+    "aqi": ("aqi", "cut"),
     "pressure": ("pressure", "double"),
-    "humidity": ("humidity", "int"),
-    "temperature": ("temperature", "int"),
+    "humidity": ("humidity", "cut"),
+    "temperature": ("temperature", "cut"),
 }
 
 # Output order of the reverse-geocoded address struct.
@@ -95,18 +95,6 @@ def _weather(body: Body) -> Column:
     return F.when(_not_blank_object(body, "weather"), F.struct(*parts))
 
 
-def _weather_check(body: Body) -> Column:
-    wrong = [
-        F.when(
-            body["weather"][source].isNull() & F.try_variant_get(body.variant, f"$.body.weather.{source}", "string").isNotNull(),
-            F.lit(f"type: weather.{source}"),
-        )
-        for source, kind in WEATHER.values()
-        if kind != "string"
-    ]
-    return F.coalesce(*wrong)
-
-
 def _place(body: Body) -> Column:
     place = body["place"]
     point = place["location"]["coordinates"]
@@ -159,7 +147,7 @@ EVENT = Mapping(
         _located("longitude"),
         _located("precision"),
         Derived("address", ADDRESS_TYPE, _geocoded),
-        Derived("weather", {"weather": {s: k for s, k in WEATHER.values()}}, _weather, _weather_check),
+        Derived("weather", {"weather": {s: k for s, k in WEATHER.values()}}, _weather),
         Derived("place", PLACE_TYPE, _place, _place_check),
         Derived("note", {"note": "string"}, lambda body: F.when(F.length(body["note"]) > 0, body["note"])),
     ),
@@ -219,8 +207,8 @@ ALERT = Mapping(
                 & (F.schema_of_variant(F.try_variant_get(body.variant, "$.body.firstAtRiskAlert", "variant")) == "STRING"),
             ),
         ),
-        optional("day_uses", kind="int"),
-        optional("percent_change", kind="int"),
+        optional("day_uses", kind="cut"),
+        optional("percent_change", kind="cut"),
         optional("asthma_control_score", "asthmaScore"),
         group(
             "variables",
@@ -478,7 +466,7 @@ ACT = Mapping(
     ("act_created",),
     (
         optional("answered_by_user_id", "answeredByUid"),
-        required("score", kind="int"),
+        required("score", kind="double"),
         required("answers", "ans"),
         required("date_received", "dateR"),
         required("date_saved", "dateS"),
@@ -491,7 +479,7 @@ CAT = Mapping(
     ("cat_created",),
     (
         optional("answered_by_user_id", "answeredByUid"),
-        required("score", kind="int"),
+        required("score", kind="double"),
         required("answers", "ans"),
         required("date_received", "dateR"),
         required("date_created", "dateC"),
@@ -508,7 +496,7 @@ ANSWER_TYPE = {
     "colLabel": "string",
     "colLabelAnswerId": "string",
     "weight": "double",
-    "quizScore": "int",
+    "quizScore": "double",
 }
 QUESTIONNAIRE_TYPE = {
     "questionnaire": [
@@ -541,7 +529,7 @@ def _answers(body: Body) -> Column:
             F.coalesce(a["colLabel"], F.lit("")).alias("col_label"),
             F.coalesce(a["colLabelAnswerId"], F.lit("")).alias("col_label_answer_id"),
             q["questionId"].alias("question_id"),
-            F.coalesce(a["quizScore"], F.lit(-1)).alias("quiz_score"),
+            F.coalesce(a["quizScore"], F.lit(-1.0)).alias("quiz_score"),
             F.coalesce(a["rowLabel"], F.lit("")).alias("row_label"),
             F.coalesce(a["rowLabelAnswerId"], F.lit("")).alias("row_label_answer_id"),
             a["text"].alias("text"),

@@ -372,7 +372,7 @@ class SyncCount:
     rule = "optional"
 
     def types(self) -> dict:
-        return {"sync": "string", "total": "int"}
+        return {"sync": "string", "total": "cut"}
 
     def columns(self, scope: Scope):
         there = scope.typed["sync"].isNotNull()
@@ -387,7 +387,7 @@ def activity_sections():
     return [
         group(
             "event",
-            [*first_last_fields(first_by_key=False), flagged("count_rescue", "totalRescue", "int")],
+            [*first_last_fields(first_by_key=False), flagged("count_rescue", "totalRescue", "cut")],
             shape="filled",
             flag=True,
         ),

@@ -87,31 +87,31 @@ EXTENDED_STATUS = {
     "orientation": ("truth", False),
     "silent": ("truth", False),
     "temperature": ("double", -3000.0),
-    "wake_up_count": ("int", -1),
-    "awake_time": ("int", -1),
+    "wake_up_count": ("cut", -1),
+    "awake_time": ("cut", -1),
     "manual_heartbeat": ("truth", False),
-    "reset_cause": ("int", -1),
-    "reset_cause_sw": ("int", -1),
-    "ms_depressed": ("int", -1),
+    "reset_cause": ("cut", -1),
+    "reset_cause_sw": ("cut", -1),
+    "ms_depressed": ("cut", -1),
     "sunfish_state": ("string", "-1"),
-    "inhale_peak": ("int", -1),
+    "inhale_peak": ("cut", -1),
     "inhale_duration": ("double", -1.0),
-    "removal_threshold": ("int", -1),
-    "event_threshold": ("int", -1),
-    "ir_reference": ("int", -1),
-    "time_since_opened": ("int", -1),
-    "med_removal_count": ("int", -1),
-    "peak_to_mean_ratio": ("int", -1),
-    "peak_count": ("int", -1),
-    "inhale_mean_square": ("int", -1),
-    "press_count": ("int", -1),
-    "shake_duration": ("int", -1),
-    "shake_intensity": ("int", -1),
-    "press_to_inhale": ("int", -1),
-    "average_volume": ("int", -1),
-    "total_volume": ("int", -1),
-    "total_volume_first_second": ("int", -1),
-    "inhale_start_to_peak": ("int", -1),
+    "removal_threshold": ("cut", -1),
+    "event_threshold": ("cut", -1),
+    "ir_reference": ("cut", -1),
+    "time_since_opened": ("cut", -1),
+    "med_removal_count": ("cut", -1),
+    "peak_to_mean_ratio": ("cut", -1),
+    "peak_count": ("cut", -1),
+    "inhale_mean_square": ("cut", -1),
+    "press_count": ("cut", -1),
+    "shake_duration": ("cut", -1),
+    "shake_intensity": ("cut", -1),
+    "press_to_inhale": ("cut", -1),
+    "average_volume": ("cut", -1),
+    "total_volume": ("cut", -1),
+    "total_volume_first_second": ("cut", -1),
+    "inhale_start_to_peak": ("cut", -1),
 }
 
 
@@ -165,7 +165,7 @@ SENSOR_MESSAGE = Mapping(
         optional("firmware_version", "frm"),
         optional("mod"),
         optional("sensor_event_id", "evtid"),
-        optional("elapsed", kind="int"),
+        optional("elapsed", kind="cut"),
         Derived("extended_status", {"ext_status": [_status_type()]}, _extended_status),
         optional("hub_id", "hub_id"),
         _fix("latitude", lambda body: F.get(body["loc"], F.lit(0))),

@@ -147,7 +147,7 @@ mapped(
     "act",
     {
         "answeredByUid": S(1, "'u' || event_id"),
-        "score": S(2, "event_id % 25"),
+        "score": S(2, "event_id % 25 + 0.5"),
         "ans": "concat('@@[', event_id % 5, ',3]@@')",
         "dateR": "'2024-01-02'",
         "dateS": S(3, "'2024-01-03'"),
@@ -155,7 +155,7 @@ mapped(
     },
     [
         same("answered_by_user_id", "answeredByUid"),
-        same("score", "score", "INTEGER"),
+        same("score", "score", "DOUBLE"),
         "'[' || (event_id % 5) || ',3]' AS answers",
         same("date_received", "dateR"),
         same("date_saved", "dateS"),
@@ -167,14 +167,14 @@ mapped(
     "cat",
     {
         "answeredByUid": S(0, "'u' || event_id"),
-        "score": S(1, "event_id % 40"),
+        "score": S(1, "event_id % 40 + 0.5"),
         "ans": S(2, "concat('@@{`q1`:', event_id % 5, '}@@')"),
         "dateR": S(3, "'2024-01-02'"),
         "dateC": "'2024-01-03'",
     },
     [
         same("answered_by_user_id", "answeredByUid"),
-        same("score", "score", "INTEGER"),
+        same("score", "score", "DOUBLE"),
         """CASE WHEN "ans" IS NOT NULL THEN '{"q1":' || (event_id % 5) || '}' END AS answers""",
         same("date_received", "dateR"),
         same("date_created", "dateC"),

@@ -305,7 +305,7 @@ def answer(n: int) -> dict:
         "colLabel": S(n + 2, "'cl'"),
         "colLabelAnswerId": S(n + 3, "'ca'"),
         "weight": S(n, "value"),
-        "quizScore": S(n + 1, "event_id % 10"),
+        "quizScore": S(n + 1, "event_id % 10 + 0.5"),
     }
 
 
@@ -333,7 +333,7 @@ def answer_sql(path: str, i: int) -> str:
     text = [f"'{n}': coalesce(\"{a}.{k}\", '')" for n, k in (("answer_id", "answerId"), ("col_label", "colLabel"), ("col_label_answer_id", "colLabelAnswerId"))]
     rest = [f"'{n}': coalesce(\"{a}.{k}\", '')" for n, k in (("row_label", "rowLabel"), ("row_label_answer_id", "rowLabelAnswerId"))]
     parts = [
-        *text, f"'question_id': \"{path}.questionId\"", f"'quiz_score': coalesce(\"{a}.quizScore\", -1)", *rest,
+        *text, f"'question_id': \"{path}.questionId\"", f"'quiz_score': CAST(coalesce(\"{a}.quizScore\", -1) AS DOUBLE)", *rest,
         f"'text': \"{a}.text\"", f"'weight': coalesce(\"{a}.weight\", -1.0)",
     ]
     return "{" + ", ".join(parts) + "}"
@@ -498,14 +498,14 @@ def status_body() -> dict:
 
 def status_sql() -> list[str]:
     out = []
-    sql_kind = {"double": "DOUBLE", "int": "INTEGER", "string": "VARCHAR"}
+    sql_kind = {"double": "DOUBLE", "cut": "INTEGER", "string": "VARCHAR"}
     for name, (kind, default) in EXTENDED_STATUS.items():
         if kind == "truth":
             value = f"coalesce({TRUTHS[name][1]}, false)"
         else:
             shown = f"'{default}'" if kind == "string" else default
             value = f'CAST(coalesce("ext_status.0.{name}", {shown}) AS {sql_kind[kind]})'
-            if kind == "int":
+            if kind == "cut":
                 value = f'coalesce(CAST("ext_status.0.{name}" AS INTEGER), {shown})'
             elif kind == "string":
                 value = f'coalesce(CAST("ext_status.0.{name}" AS VARCHAR), {shown})'
