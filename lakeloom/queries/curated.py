@@ -15,6 +15,7 @@ from lakeloom.plans.patient_hours import PARTITIONS, patient_hours, write as wri
 from lakeloom.queries.base import SQL_ISO_US, Tables, iso_us, query
 from lakeloom.session import scratch_dir
 from lakeloom.sinks.tables import stale_partitions, upsert
+from lakeloom.sources.tables import read_path
 
 JANUARY = Period(2024, 1)
 def now() -> Column:
@@ -462,4 +463,4 @@ def change_dim_upsert(t: Tables) -> DataFrame:
     old.write.parquet(path)
     fresh = dim_subgroup(nothing, nothing, _changes(t, "error"), region="eu")
     upsert(path, fresh, ["subgroup_id"])
-    return t.spark.read.parquet(path).select("subgroup_id", "deleted", iso_us("datetime_modified").alias("datetime_modified"))
+    return read_path(t.spark, path).select("subgroup_id", "deleted", iso_us("datetime_modified").alias("datetime_modified"))

@@ -16,6 +16,7 @@ from lakeloom.queries.ingest import (
 )
 from lakeloom.session import scratch_dir
 from lakeloom.sinks.tables import full_refresh, partitions_of, stale_partitions, upsert, write_partitions
+from lakeloom.sinks.versions import replace
 from lakeloom.sources.landing import landing_path, read_landing
 from lakeloom.sources.tables import read_bronze, read_month, read_months, read_path, read_table, read_warehouse
 from lakeloom.streaming.bronze import start_bronze
@@ -417,18 +418,72 @@ def bronze_two_feeds(t: Tables) -> DataFrame:
 
 @query("upsert_partitioned", UPSERT_SQL.replace("customer", "(SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer)"))
 def upsert_partitioned(t: Tables) -> DataFrame:
-    """A partitioned table stays partitioned; rows are read from its partition folders."""
+    """A partitioned table stays partitioned; each segment is read by its own filter."""
     path = scratch_dir(t.spark, "customer")
     t.customer.select(*CUSTOMER).write.partitionBy("c_mktsegment").parquet(path)
     upsert(path, _stage(t).select(*CUSTOMER), ["c_custkey"])
     segments = [r.c_mktsegment for r in t.customer.select("c_mktsegment").distinct().collect()]
-    parts = [t.spark.read.parquet(f"{path}/c_mktsegment={s}").withColumn("c_mktsegment", F.lit(s)) for s in segments]
+    parts = [read_path(t.spark, path).where(F.col("c_mktsegment") == s) for s in segments]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     return found
 
 
+# Partition values that look like numbers or hold characters that folder names cannot have.
+CODE = "lpad(CAST(c_custkey % 7 AS VARCHAR), 2, '0') || CASE WHEN c_custkey % 7 = 3 THEN '/ä %=' ELSE '' END"
+
+
+def _coded(t: Tables) -> DataFrame:
+    code = F.concat(F.lpad((F.col("c_custkey") % 7).cast("string"), 2, "0"), F.when(F.col("c_custkey") % 7 == 3, "/ä %=").otherwise(""))
+    return t.customer.select("c_custkey", "c_acctbal", F.when(F.col("c_custkey") % 7 < 6, code).alias("code"))
+
+
+CODED_SQL = f"(SELECT c_custkey, c_acctbal, CASE WHEN c_custkey % 7 < 6 THEN {CODE} END AS code FROM customer)"
+
+
+@query(
+    "upsert_string_partition",
+    f"""
+    SELECT c_custkey, c_acctbal, code FROM {CODED_SQL} WHERE NOT (c_custkey % 7 = 2 AND c_acctbal < 0)
+    UNION ALL SELECT c_custkey, 0.0, code FROM {CODED_SQL} WHERE c_custkey % 7 = 2 AND c_acctbal < 0
+    UNION ALL SELECT -c_custkey, c_acctbal, code FROM {CODED_SQL} WHERE c_custkey % 70 = 5
+    UNION ALL SELECT -c_custkey, c_acctbal, '007' FROM {CODED_SQL} WHERE c_custkey % 70 = 6
+    """,
+)
+def string_partitions(t: Tables) -> DataFrame:
+    """Texts like ``02`` stay texts, null stays null; rows changed, added to a partition, and in a new one."""
+    path, rows = scratch_dir(t.spark, "coded"), _coded(t)
+    full_refresh(rows.limit(0), path)
+    replace(rows, path, keys=["code"])
+    changed = rows.where("c_custkey % 7 = 2 and c_acctbal < 0").withColumn("c_acctbal", F.lit(0.0))
+    added = rows.where("c_custkey % 70 = 5").withColumn("c_custkey", -F.col("c_custkey"))
+    new = rows.where("c_custkey % 70 = 6").withColumn("c_custkey", -F.col("c_custkey")).withColumn("code", F.lit("007"))
+    upsert(path, changed.unionByName(added).unionByName(new), ["c_custkey"])
+    return read_path(t.spark, path)
+
+
+@query(
+    "upsert_scope",
+    """
+    SELECT c_mktsegment, CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'MACHINERY' THEN 2 ELSE 1 END AS BIGINT) AS folders,
+           c_mktsegment = 'BUILDING' AS rewritten, count(*) + CASE c_mktsegment WHEN 'MACHINERY' THEN 1 ELSE 0 END AS n
+    FROM customer GROUP BY c_mktsegment
+    """,
+)
+def upsert_scope(t: Tables) -> DataFrame:
+    """One changed row and one new row: of all partitions one is written again and one gets a file more."""
+    path, rows = scratch_dir(t.spark, "customer"), t.customer.select(*CUSTOMER)
+    first = replace(rows, path, keys=["c_mktsegment"])
+    one = rows.where("c_mktsegment = 'BUILDING'").orderBy("c_custkey").limit(1)
+    new = one.withColumn("c_custkey", F.lit(-1).cast(rows.schema["c_custkey"].dataType)).withColumn("c_mktsegment", F.lit("MACHINERY"))
+    second = upsert(path, one.unionByName(new), ["c_custkey"])
+    known = [(p.split("=")[1], len(own), own[0] != first.parts[p][0]) for p, own in second.parts.items()]
+    folders = t.spark.createDataFrame(known, "c_mktsegment string, folders long, rewritten boolean")
+    counts = read_path(t.spark, path).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(folders, "c_mktsegment").select("c_mktsegment", "folders", "rewritten", "n")
+
+
 @query(
     "stream_dead_letter_replay",
     f"""

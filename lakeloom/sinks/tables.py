@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
 
-from lakeloom.operators.joins import upserted
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-MAX_RECORDS_PER_FILE = 5_000_000
+from lakeloom.sinks import versions
+from lakeloom.sinks.versions import MAX_RECORDS_PER_FILE, Version, replace
 
 
 def write_partitions(rows: DataFrame, path: str, keys: list[str], *, fmt: str = "parquet") -> None:
@@ -58,77 +59,41 @@ def _sql_literal(value) -> str:
 
 
 def full_refresh(rows: DataFrame, target: str, *, fmt: str = "parquet") -> None:
-    """Replace a path: write a complete copy beside it, then exchange the names.
+    """Replace a table's content; ``rows`` may read it. Partition columns and their types are kept.
 
-    ``rows`` may read the target itself, and are computed and written once. Until the copy is
-    complete the target is untouched; a job that dies between the two renames is finished by
-    ``recover``, which every refresh and upsert calls first. The target's partition columns
-    are kept.
+    The new files lie beside the old ones and count once a pointer names them (``versions``), so
+    nothing is moved and a job that dies at any point leaves the old content.
     """
-    spark = rows.sparkSession
-    recover(spark, target)
-    files, path, stage, old = _places(spark, target)
-    keys = _partition_keys(files, path)
-    writer = (rows.hint("rebalance", *keys) if keys else rows).write.mode("overwrite").format(fmt)
-    writer = writer.option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*keys) if keys else writer).save(stage.toString())
-    if files.exists(path):
-        _rename(files, path, old)
-    _rename(files, stage, path)
-    files.delete(old, True)
-    spark.catalog.refreshByPath(target)
-
-
-def recover(spark: SparkSession, target: str) -> None:
-    """Finish a refresh that died between its renames; a target that is there is left alone."""
-    files, path, stage, old = _places(spark, target)
-    if files.exists(path):
-        files.delete(old, True)
-    elif files.exists(old):  # the target was moved away, so the stage was complete
-        _rename(files, stage if files.exists(stage) else old, path)
-        files.delete(old, True)
-
-
-def _places(spark: SparkSession, target: str):
-    """The target's file system, and the paths of the target, its next and its last version."""
-    name = spark._jvm.org.apache.hadoop.fs.Path
-    base = target.rstrip("/")
-    path = name(base)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path, name(f"{base}__next"), name(f"{base}__last")
-
-
-def _rename(files, source, target) -> None:
-    if not files.rename(source, target):
-        raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
-
-
-def _partition_keys(files, path) -> list[str]:
-    """Partition columns of the files below a path, from its folder names."""
-    keys = []
-    while files.exists(path):
-        inner = [s.getPath() for s in files.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
-        if not inner:
-            break
-        path = inner[0]
-        keys.append(path.getName().split("=", 1)[0])
-    return keys
+    replace(rows, target, fmt=fmt)
 
 
 def refresh_table(rows: DataFrame, table: str, *, fmt: str = "parquet") -> None:
-    """Replace a catalog table: stage table, then an exchange of names, then a drop."""
+    """Replace a catalog table; ``rows`` may read it.
+
+    The rows are written to a folder of their own. A table with the same columns is then pointed to it,
+    which is one call to the catalog, so there is no moment without the table; its old files stay until
+    they are deleted by hand, as readers may still use them. Otherwise the table is created anew, or
+    dropped and created.
+    """
     spark = rows.sparkSession
-    stage, old = f"{table}_stage", f"{table}_old"
-    spark.sql(f"DROP TABLE IF EXISTS {stage}")
-    rows.write.format(fmt).saveAsTable(stage)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-
-
-def upsert(target_path: str, stage: DataFrame, keys: list[str], *, fmt: str = "parquet") -> None:
-    """Delete the target rows that match the stage on all keys, insert all stage rows."""
-    recover(stage.sparkSession, target_path)
-    target = stage.sparkSession.read.format(fmt).load(target_path)
-    full_refresh(upserted(target, stage, keys), target_path, fmt=fmt)
+    place = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}__{uuid.uuid4().hex}"
+    rows.write.format(fmt).save(place)
+    known = spark.table(table).schema if spark.catalog.tableExists(table) else None
+    if known is not None and [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in rows.schema] and not _is_partitioned(spark, table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_sql_literal(place)}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=place, source=fmt, schema=rows.schema)
+    spark.catalog.refreshTable(table)
+
+
+def _is_partitioned(spark: SparkSession, table: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def upsert(target_path: str, stage: DataFrame, keys: list[str], *, fmt: str = "parquet") -> Version:
+    """Delete the target rows that match the stage on all keys, insert all stage rows.
+
+    Only partitions with a row to delete are written again.
+    """
+    return versions.upsert(target_path, stage, keys, fmt=fmt)

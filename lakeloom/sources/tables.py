@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakeloom.sinks.versions import read_table_path
+
 
 def read_table(spark: SparkSession, name: str, *, database: str | None = None) -> DataFrame:
     """A catalog table."""
@@ -11,7 +13,8 @@ def read_table(spark: SparkSession, name: str, *, database: str | None = None) -
 
 
 def read_path(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """A folder of files, or the current version of one that is written in versions."""
+    return read_table_path(spark, path, fmt=fmt)
 
 
 def read_month(table: DataFrame, year: int, month: int) -> DataFrame:
@@ -40,7 +43,7 @@ def read_warehouse(spark: SparkSession, table: str, *, url: str | None = None, p
     if url:
         return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
     if path:
-        return spark.read.parquet(path)
+        return read_path(spark, path)
     return spark.read.table(table)
 
 
