@@ -117,6 +117,7 @@ def _hash_windows(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 def features(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     """Hashes of each text's features in their order, each once."""
     found: list[list[np.ndarray]] = [[] for _ in texts]
+    least: dict[int, tuple[int, np.ndarray]] = {}  # of texts without such a window so far, the best one and its rank
     for k, text in enumerate(texts):
         if 0 < len(text) < SHORT:
             padded = b"".join(text[a : a + SHORT_WINDOW].ljust(WINDOW, b"\0") for a in range(max(1, len(text) - SHORT_WINDOW + 1)))
@@ -143,9 +144,13 @@ def features(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
             i, j = np.searchsorted(chosen, (a, b))
             if j > i:
                 found[k].append(hashed[i:j])
-            elif len(texts[k]) - WINDOW + 1 <= CHUNK:  # no window wins often: the best one stands for the text
-                best = int(keys[a:b].min()) & 0xFFFFFFFF
-                found[k].append(_hash_windows(data, np.array([best])))
+            elif b > a and not found[k]:
+                best = int(keys[a:b].min())
+                if k not in least or best >> 32 < least[k][0]:
+                    least[k] = best >> 32, _hash_windows(data, np.array([best & 0xFFFFFFFF]))
+    for k, (_, own) in least.items():
+        if not found[k]:  # no window wins often, in no chunk: the best one of all stands for the text
+            found[k].append(own)
     out = []
     for parts in found:
         if not parts:

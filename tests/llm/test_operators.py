@@ -278,3 +278,11 @@ def test_entropy_of_every_window():
         share = np.bincount(data[k : k + 32]) / 32
         share = share[share > 0]
         assert abs(got[k] - -(share * np.log2(share)).sum() / 5 * 1000) < 3
+
+
+def test_long_texts_without_a_winner_have_features():
+    """Of a text whose windows all tie, the best one is taken, however many chunks it has."""
+    ranks = np.arange(digest.BINS + 1)
+    for n in (200, digest.CHUNK, 3 * digest.CHUNK + 17):
+        one, other, mixed = digest.features([b"a" * n, b"bc" * n, b"a" * n], ranks)
+        assert len(one) == 1 and len(other) >= 1 and (one == mixed).all() and not set(one.tolist()) & set(other.tolist())
