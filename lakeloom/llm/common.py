@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -21,9 +22,39 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Lists that want to know what is staged meanwhile.
+_LISTS: list[list[tuple[str, str | None]]] = []
+
+
+@contextlib.contextmanager
+def recorded():
+    """The folders, and the tables over them, that are staged inside the block."""
+    made: list[tuple[str, str | None]] = []
+    _LISTS.append(made)
+    try:
+        yield made
+    finally:
+        _LISTS[:] = [other for other in _LISTS if other is not made]
+
+
+def note(path: str, table: str | None = None) -> None:
+    for made in _LISTS:
+        made.append((path, table))
+
+
+def discard(spark: SparkSession, made: list[tuple[str, str | None]]) -> None:
+    """Delete staged folders and tables; nothing may read them any more."""
+    for path, table in made:
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the cluster's shared folder and read it back, which also cuts the lineage."""
     path = scratch_dir(df.sparkSession, label)
+    note(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

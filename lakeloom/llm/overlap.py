@@ -5,8 +5,8 @@ of the matrix with its transpose holds the overlap of every pair. It is never co
 
 * A set of n shingles can spare ``m = floor((100 - least) * n / 100)`` of them, and sizes of linked sets
   differ by ``least`` percent at most. Rows with more than m columns of their own cannot link and go
-  first, judged on the columns whose hash has the bits 00 in front (all columns for small sets), then,
-  for what is left, on all of them.
+  first, judged on the columns with the smallest hashes (all columns for small sets), then, for what is
+  left, on all of them.
 * Columns are ordered from rare to frequent. Linked rows share one of their first ``m + 1`` columns, so
   only these say which rows have to meet. Each such column has a pivot, its smallest row.
 * First every pivot is multiplied with the rows of its columns. Columns whose rows are then in one
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from lakeloom.llm.common import staged
@@ -34,8 +34,8 @@ from lakeloom.llm.simhash import SEED, components, forest
 WORDS, LEAST = 4, 85
 #: Shingles and rows of a block.
 CAP, ROWS = 1 << 18, 512
-#: Sets below this size show all columns at first, larger ones those with the bits 00 in front.
-SMALL = 64
+#: Sets below this size show all columns at first, larger ones those with small hashes: SHOWN times what can be spared.
+SMALL, SHOWN = 64, 5 / 3
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 #: Columns of a dense slice, and pairs that are spelled out at once.
 _WIDE, _PAIRS = 2048, 1 << 21
@@ -105,14 +105,20 @@ def near(common: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, least: int)
     return common * 100 >= both * least
 
 
-def _prints(docs: DataFrame, words: int) -> DataFrame:
+def _limit(least: int) -> int:
+    """Hashes below it are shown of every set."""
+    return min(1 << 64, int(SHOWN * (100 - least) / 100 * 2**64))
+
+
+def _prints(docs: DataFrame, words: int, least: int) -> DataFrame:
     """Of every row its set's hash and size, and the columns that are shown at first."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_id().alias("tid"), "text")
+    last = np.uint64(_limit(least) - 1)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_id(F.col("text")).alias("tid"), "text")
 
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
-            shown = [s if len(s) < SMALL else s[: np.searchsorted(s, np.uint64(1 << 62))] for s in sets]
+            shown = [s if len(s) < SMALL else s[: np.searchsorted(s, last, "right")] for s in sets]
             held = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, shown)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *shown]).view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tid"), pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()), held],
@@ -121,8 +127,8 @@ def _prints(docs: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, rows.select("doc_id", "tid").schema.add("fp", "long").add("n", "long").add("shown", ArrayType(LongType())))
 
 
-def _text_id():
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+def _text_id(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _able(prints: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -130,15 +136,16 @@ def _able(prints: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     spare = f"n * {100 - least} div 100"
     each = prints.where(f"n * 100 >= (n + 1) * {least}").select("fp", "n", F.explode("shown").alias("col"))
     # the columns of a small set tell only where all possible partners show them, too
-    tells = f"n * 100 < {SMALL * least} or col between 0 and {(1 << 62) - 1}"
-    lone = each.groupBy("col").agg(F.min("fp").alias("fp"), F.max("fp").alias("other"), F.min("n").alias("n")).where(f"fp = other and ({tells})")
+    low = -(1 << 63)  # turns unsigned order into signed order
+    tells = (F.col("n") * 100 < SMALL * least) | (F.col("col").bitwiseXOR(F.lit(low)) <= F.lit(_limit(least) - 1 + low))
+    lone = each.groupBy("col").agg(F.min("fp").alias("fp"), F.max("fp").alias("other"), F.min("n").alias("n")).where("fp = other").where(tells)
     own = lone.groupBy("fp").agg(F.count(F.lit(1)).alias("own"))
     return sets.where(f"n * 100 >= (n + 1) * {least}").join(own, "fp", "left").where(f"coalesce(own, 0) <= {spare}").drop("own")
 
 
 def _rows(docs: DataFrame, able: DataFrame, words: int) -> DataFrame:
     """The whole sets, from the text of one document each."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_id().alias("tid"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_id(F.col("text")).alias("tid"), "text")
     wanted = able.select(F.col("first.doc_id").alias("id"), F.col("first.tid").alias("hash"))
     found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tid") == F.col("hash")), "left_semi").select("text")
 
@@ -224,19 +231,36 @@ def set_links(docs: DataFrame, prints: DataFrame, sets: DataFrame, words: int, l
     return links.unionByName(staged(more, "links"))
 
 
-def classes(docs: DataFrame, words: int = WORDS, least: int = LEAST, *, cap: int = CAP, most: int = ROWS) -> DataFrame:
-    """Every document with the size of its set and the smallest doc_id that links of ``least`` percent reach."""
-    prints = staged(_prints(docs, words), "prints")
+def near_sets(docs: DataFrame, words: int, least: int, *, cap: int = CAP, most: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, tid, fp, n`` of every row (its text's and its set's hash, null without words, and size), and ``fp, root, component_id`` (one set's hash and the smallest doc_id for all that links reach)."""
+    prints = staged(_prints(docs, words, least), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("first")
     sets = staged(prints.where("n > 0").groupBy("fp").agg(first, F.max("n").alias("n")), "sets")
     roots = components(set_links(docs, prints, sets, words, least, cap, most))
     named = sets.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.col("first.doc_id").alias("doc_id"), F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = named.join(smallest, "root").select("fp", "component_id")
-    whole = prints.join(found, "fp", "left")
+    return prints.select("doc_id", "tid", "fp", "n"), named.join(smallest, "root").select("fp", "root", "component_id")
+
+
+def classes(docs: DataFrame, words: int = WORDS, least: int = LEAST, *, cap: int = CAP, most: int = ROWS) -> DataFrame:
+    """Every document with the size of its set and the smallest doc_id that links of ``least`` percent reach."""
+    prints, found = near_sets(docs, words, least, cap=cap, most=most)
+    whole = prints.join(found.select("fp", "component_id"), "fp", "left")
     return whole.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def first_of_each(docs: DataFrame, words: int, least: int) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest doc_id; all of its columns.
+
+    Documents without words are a group. A null doc_id stays only where the group has no other; rows that
+    agree in doc_id and text are one document and stay together.
+    """
+    prints, groups = near_sets(docs, words, least)
+    kept = prints.join(groups.select("fp", "root"), "fp", "left").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("first"))
+    kept = staged(kept.select(F.col("first.doc_id").alias("__id"), F.col("first.tid").alias("__tid")), "kept")
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__id"]) & (_text_id(docs["text"]) == kept["__tid"]), "left_semi")
+
+
 #: The same by counting the common shingles of all pairs of distinct sets.
 SQL = r"""
 with recursive d as (

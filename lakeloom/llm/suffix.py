@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakeloom.llm.common import staged
+from lakeloom.llm.common import note, staged
 from lakeloom.llm.packed import packed, unpacked
 from lakeloom.session import scratch_dir
 
@@ -285,7 +285,9 @@ class Sorted:
 
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(blocks, "block long, data binary, nulls binary")
         name = f"blocks_{uuid.uuid4().hex}"
-        rows.write.bucketBy(width, "block").sortBy("block").format("parquet").option("path", scratch_dir(self.spark, "blocks")).saveAsTable(name)
+        path = scratch_dir(self.spark, "blocks")
+        note(path, name)
+        rows.write.bucketBy(width, "block").sortBy("block").format("parquet").option("path", path).saveAsTable(name)
         self.blocks = self.spark.table(name)
 
     def _with(self, answers: DataFrame, run, kinds: str) -> DataFrame:
