@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+
+from lakeloom.session import scratch_dir
 
 
 def flatten_structs(rows: DataFrame) -> DataFrame:
@@ -73,9 +75,18 @@ def cast_failures(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def conform_within(rows: DataFrame, schema: T.StructType, budget: ErrorBudget = ErrorBudget(), spent: int = 0) -> DataFrame:
-    """Like :func:`conform`, after checking the failures against the budget (one pass)."""
-    budget.charge(cast_failures(rows, schema).first()["total"], spent)
-    return conform(rows, schema)
+    """Like :func:`conform`, after checking the failures against the budget.
+
+    The rows are computed once: they are written to the scratch folder, counted by an observation of
+    that write, and read back.
+    """
+    spark, path, seen = rows.sparkSession, scratch_dir(rows.sparkSession, "conformed"), Observation()
+    failures = [F.when(failed_cast(f.name, f.dataType), 1).otherwise(0) for f in schema]
+    counted = rows.select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema], sum(failures, F.lit(0)).alias("_failed"))
+    counted.observe(seen, F.coalesce(F.sum("_failed"), F.lit(0)).alias("total")).drop("_failed").write.parquet(path)
+    budget.charge(seen.get["total"], spent)
+    return spark.read.schema(conform(rows, schema).schema).parquet(path)
 
 
 def drop_empty_columns(rows: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeloom.functions.times import parse_any_ts
 from lakeloom.operators.conform import ErrorBudget, conform_within, split_contract
 from lakeloom.operators.joins import union_streams
+from lakeloom.sinks.publish import Report, publish
+from lakeloom.sources.tables import read_bronze
 
 SCHEMA = T.StructType(
     [
@@ -79,7 +81,23 @@ def dim_subgroup(created: DataFrame, updated: DataFrame, deleted: DataFrame, *,
     )
 
 
+#: The table: the dimension's columns and the region it is from.
+TABLE = T.StructType([*SCHEMA.fields, T.StructField("region", T.StringType())])
+
+
 def checked(dimension: DataFrame, budget: ErrorBudget = ErrorBudget()) -> tuple[DataFrame, DataFrame]:
     """Conform to the schema within the budget, then split off rows that break the contract."""
-    schema = T.StructType([*SCHEMA.fields, T.StructField("region", T.StringType())])
-    return split_contract(conform_within(dimension, schema, budget), schema)
+    return split_contract(conform_within(dimension, TABLE, budget), TABLE)
+
+
+def populate(
+    created: DataFrame, updated: DataFrame, deleted: DataFrame, target: str, *, region: str, budget: ErrorBudget = ErrorBudget(), rejects: str | None = None
+) -> Report:
+    """The whole job: current state from the change events, upserted into the table by subgroup."""
+    return publish(dim_subgroup(created, updated, deleted, region=region), target, TABLE, keys=["subgroup_id"], budget=budget, rejects=rejects)
+
+
+def populate_from_bronze(spark: SparkSession, root: str, target: str, *, region: str, budget: ErrorBudget = ErrorBudget(), rejects: str | None = None) -> Report:
+    """The job over the bronze table of subgroups, one event type, which is a partition, per change stream."""
+    created, updated, deleted = (read_bronze(spark, root, "subgroup", event_types=[f"subgroup_{kind}"]) for kind in ("created", "updated", "deleted"))
+    return populate(created, updated, deleted, target, region=region, budget=budget, rejects=rejects)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lakeloom.functions.texts import clean_name
 from lakeloom.functions.times import not_after, parse_us_date
-from lakeloom.operators.conform import select_trimmed, truncate_to_width, union_versions, with_missing
+from lakeloom.operators.conform import ErrorBudget, select_trimmed, truncate_to_width, union_versions, with_missing
+from lakeloom.sinks.publish import Report, publish
 
 # Columns of the submitted files and their names in the output.
 SUBMITTED = {
@@ -42,6 +43,45 @@ SUBMITTED = {
 }
 ADDED_IN_V2 = {"cerner_person_id": "int", "group_display_name": "string", "address_country_code": "string"}
 
+# Columns of the output table in order, their types, and which must not be null.
+TABLE = T.StructType(
+    [
+        T.StructField(name, {"date": T.DateType(), "timestamp": T.TimestampType(), "int": T.IntegerType()}.get(kind, T.StringType()), nullable)
+        for name, kind, nullable in [
+            ("uid", "string", True),
+            ("promo", "string", True),
+            ("date_ingested", "date", False),
+            ("client_name", "string", True),
+            ("first_name", "string", True),
+            ("last_name", "string", True),
+            ("email", "string", True),
+            ("address_street_1", "string", True),
+            ("address_street_2", "string", True),
+            ("address_city", "string", True),
+            ("address_state_code", "string", True),
+            ("address_postal_code", "string", True),
+            ("phone_number", "string", True),
+            ("disease", "string", True),
+            ("division", "string", True),
+            ("market", "string", True),
+            ("medical_record_number", "string", True),
+            ("patient_gender", "string", True),
+            ("patient_language", "string", True),
+            ("date_of_birth", "date", True),
+            ("date_of_service", "date", True),
+            ("diagnosis_code_1", "string", True),
+            ("diagnosis_desc_1", "string", True),
+            ("rendering_provider", "string", True),
+            ("pcp_name", "string", True),
+            ("clinic_desc", "string", True),
+            ("datetime_modified", "timestamp", False),
+            ("cerner_person_id", "int", True),
+            ("group_display_name", "string", True),
+            ("address_country_code", "string", True),
+        ]
+    ]
+)
+
 # Which disease tags come with which date form.
 FOUR_DIGIT_TAGS = ["COPD"]
 TWO_DIGIT_TAGS = ["ASTHMA", "copd", "Asthma"]
@@ -133,3 +173,20 @@ def match_members(
         now.cast("timestamp").alias("datetime_modified"),
     )
     return truncate_to_width(matched, rules.widths) if rules.widths else matched
+
+
+def populate(
+    v1: DataFrame,
+    v2: DataFrame,
+    users: DataFrame,
+    target: str,
+    rules: MatchRules,
+    *,
+    today: Column,
+    now: Column,
+    budget: ErrorBudget = ErrorBudget(),
+    rejects: str | None = None,
+) -> Report:
+    """The whole job: both file versions matched, brought to the table's columns, and the table replaced."""
+    matched = match_members(submissions(v1, v2), users, rules, today=today, now=now)
+    return publish(matched, target, TABLE, budget=budget, rejects=rejects)
