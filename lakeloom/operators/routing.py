@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakeloom.functions.nested import remove_first
 from lakeloom.functions.times import ISO_US_FORMAT, iso_ms
 from lakeloom.mapping.registry import EVENT_TYPES
+from lakeloom.sources.pointers import pointer_of
 
 REPLAY = "replay"
 
@@ -100,10 +101,11 @@ def with_routing_errors(envelopes: DataFrame, tables: list[str] | None = None) -
 
 
 def split_quarantine(envelopes: DataFrame, tables: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Usable envelopes, and the ids and reasons of the others."""
+    """Usable envelopes, and the ids and reasons of the others, with the pointers to their records if there are any."""
     checked = with_routing_errors(envelopes, tables)
     good = checked.filter(F.size("envelope_errors") == 0)
     bad = checked.filter(F.size("envelope_errors") > 0).select(
+        *pointer_of(checked),
         "user_id",
         "group_id",
         iso_ms(F.col("call_ts")).alias("call_time"),

@@ -9,6 +9,7 @@ from lakeloom.mapping.compiler import good_rows, map_events, rejected_rows
 from lakeloom.mapping.registry import EVENT_TYPES, MAPPINGS
 from lakeloom.operators.routing import split_quarantine
 from lakeloom.sinks.tables import write_partitions
+from lakeloom.sources.pointers import POINTER, pointer_of
 
 MONTH = ["date_year", "date_month"]
 
@@ -30,7 +31,7 @@ def tables_present(envelopes: DataFrame, tables: list[str] | None = None) -> lis
 
 
 def write_bronze(envelopes: DataFrame, root: str, *, run: str, tables: list[str] | None = None) -> None:
-    """Write every bronze table of a decoded feed by month and run, and the rejects.
+    """Write every bronze table of a decoded feed by month and run, and the rejects, with ``pointer`` if the feed has one.
 
     Rows keep their event type, as the first partition. Known types whose table is not among
     ``tables`` go to the rejects. A repeated ``run`` replaces its own rows and no others. The decoded feed is kept on
@@ -43,9 +44,9 @@ def write_bronze(envelopes: DataFrame, root: str, *, run: str, tables: list[str]
         good, bad = split_quarantine(kept, tables)
         write_partitions(bad.withColumn("run", F.lit(run)), f"{root}/_rejected/envelope", ["run"])
         for name in tables_present(kept, tables):
-            mapped = map_events(good, MAPPINGS[name], keep=["run", "event_type"])
-            write_partitions(good_rows(mapped), f"{root}/{name}", ["event_type", *MONTH, "run"])
-            rejected = rejected_rows(mapped, keep=["event_type"]).withColumns({"bronze_table": F.lit(name), "run": F.lit(run)})
+            mapped = map_events(good, MAPPINGS[name], keep=["run", "event_type", *pointer_of(good)])
+            write_partitions(good_rows(mapped).drop(POINTER), f"{root}/{name}", ["event_type", *MONTH, "run"])
+            rejected = rejected_rows(mapped, keep=["event_type", *pointer_of(mapped)]).withColumns({"bronze_table": F.lit(name), "run": F.lit(run)})
             write_partitions(rejected, f"{root}/_rejected/mapping", ["bronze_table", "run"])
     finally:
         kept.unpersist()

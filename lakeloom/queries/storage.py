@@ -2,26 +2,38 @@
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
+import zlib
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 
 from lakeloom.functions.nested import flatten_map, lon_lat, non_empty, remove_first, string_map, truthy
-from lakeloom.functions.texts import csv_rows
+from lakeloom.functions.texts import csv_rows, encode_base64
 from lakeloom.functions.times import Period, hour_of, ts_literal
 from lakeloom.operators.joins import union_streams, upserted, with_lookup
+from lakeloom.plans.bronze import write_bronze
 from lakeloom.queries.base import Tables, query
 from lakeloom.queries.bronze import shown
 from lakeloom.queries.feed import pick_sql, records, sometimes as S, source_sql
 from lakeloom.queries.ingest import (
-    FAILED_SQL, KEPT_ARGS_SQL, REPLAYED, TYPES, error_files, feed_records, strict_call_time,
+    FAILED_SQL, KEPT_ARGS_SQL, REPLAYED, TYPES, damaged_records, error_files, feed_records, strict_call_time,
 )
 from lakeloom.session import scratch_dir
 from lakeloom.sinks.tables import full_refresh, partitions_of, stale_partitions, upsert, write_partitions
 from lakeloom.sinks.versions import replace
+from lakeloom.sources.dead_letters import read_dead_letters
+from lakeloom.sources.envelopes import decode_envelopes
 from lakeloom.sources.landing import landing_path, read_landing
+from lakeloom.sources.pointers import records_of, with_pointer
 from lakeloom.sources.tables import read_bronze, read_month, read_months, read_path, read_table, read_warehouse
 from lakeloom.streaming.bronze import start_bronze
 from lakeloom.streaming.fanout import start_fanout
-from lakeloom.streaming.replay import once_per_event, read_new, start_replay
+from lakeloom.streaming.names import stream_name
+from lakeloom.streaming.once import merge_ledger, start_once
+from lakeloom.streaming.replay import read_new, start_replay
 
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
@@ -518,16 +530,60 @@ def incremental(t: Tables) -> DataFrame:
     return seen.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("times"))
 
 
-@query("stream_once_per_event", "SELECT event_id, user_id FROM events")
+@query(
+    "stream_once_per_event",
+    "SELECT event_id, user_id, CASE WHEN event_id % 3 = 0 THEN 'late' ELSE 'on time' END AS came FROM events",
+)
 def deduplicated(t: Tables) -> DataFrame:
-    """Every event sent twice, kept once, within the watermark."""
-    events = t.events.select("event_id", "user_id", "ts")
-    source = _record_files(events.unionByName(events), "twice", files=1)
-    out, checkpoint = scratch_dir(t.spark, "once"), scratch_dir(t.spark, "checkpoint")
-    stream = t.spark.readStream.schema(events.schema).parquet(source)
-    once = once_per_event(stream, "ts", key="event_id", delay="40 days")
-    once.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(out).awaitTermination()
-    return t.spark.read.parquet(out).select("event_id", "user_id")
+    """Events of a month, then all of them again with the third that is late by up to that month, then all once more."""
+    rows = t.events.select("event_id", "user_id", "ts")
+    source, out, ledger, checkpoint = (scratch_dir(t.spark, n) for n in ("sent", "once", "ledger", "checkpoint"))
+
+    def run() -> None:
+        stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(source)
+        start_once(stream, out, ledger, checkpoint, key="event_id").awaitTermination()
+
+    for n, part in enumerate((rows.where("event_id % 3 <> 0"), rows.unionByName(rows), rows)):
+        part.repartition(2 + n).write.mode("append").parquet(source)
+        run()
+    merge_ledger(t.spark, ledger, stream=stream_name(checkpoint), before=1, key="event_id")
+    rows.limit(100).write.mode("append").parquet(source)
+    run()
+    first = F.when(F.col("event_id") % 3 == 0, "late").otherwise("on time")
+    return t.spark.read.parquet(out).select("event_id", "user_id", first.alias("came"))
+
+
+@query(
+    "stream_replay_batches",
+    f"SELECT {FAILED_SQL.replace('failed=', '')} AS event_type, CAST(count(*) AS BIGINT) AS records, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS twice FROM events GROUP BY ALL",
+)
+def replayed_batches(t: Tables) -> DataFrame:
+    """Batches of 100 per file and type to a receiver that breaks down half-way; the restart sends the rest and nothing twice."""
+    letters = error_files(t)
+    out, checkpoint, inbox = (scratch_dir(t.spark, n) for n in ("replayed", "checkpoint", "inbox"))
+    place = inbox.removeprefix("file:")
+    os.makedirs(place)
+
+    def receiver(breaks: bool):
+        def send(event_type: str, rows: list) -> None:
+            if breaks and zlib.crc32(rows[0].data.encode()) % 2:
+                raise ConnectionError("the receiver is away")
+            with open(f"{place}/{uuid.uuid4().hex}", "w") as file:
+                file.writelines(f"{event_type}\t{json.loads(r.data)['pubSubEventId']}\t{len(rows)}\n" for r in rows)
+
+        return send
+
+    for breaks in (True, False, False):
+        query = start_replay(t.spark, letters, out, checkpoint, send=receiver(breaks))
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            if not breaks or "DeliveryFailed" not in str(error):
+                raise
+    seen = t.spark.read.schema("event_type string, id string, size long").option("sep", "\t").csv(place)
+    each = seen.groupBy("event_type", "id").agg(F.count(F.lit(1)).alias("times"), F.max("size").alias("size"))
+    return each.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("size") > 100).alias("overfull"), F.count_if(F.col("times") > 1).alias("twice"))
 
 
 @query(
@@ -539,3 +595,54 @@ def deduplicated(t: Tables) -> DataFrame:
 def hourly_counts(t: Tables) -> DataFrame:
     hour = F.date_format(hour_of(F.col("ts")), "yyyy-MM-dd'T'HH").alias("hour")
     return t.events.groupBy(hour, "event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+# Rejects lead back to their records.
+
+DAMAGED = "event_id % 11 IN (1, 2, 3, 5)"
+REASON_SQL = """CASE event_id % 11 WHEN 2 THEN 'missing: body' WHEN 3 THEN 'format: callTime' ELSE 'payload: not base64 JSON' END"""
+
+
+@query("rejects_to_records", f"SELECT event_id, {REASON_SQL} AS errors FROM events WHERE {DAMAGED}")
+def rejects_to_records(t: Tables) -> DataFrame:
+    """Rejects of a fan-out stream, joined with the files the stream was read from: every one finds its record."""
+    source = _record_files(damaged_records(t), "records")
+    root, checkpoint = scratch_dir(t.spark, "feeds"), scratch_dir(t.spark, "checkpoint")
+    stream = with_pointer(t.spark.readStream.schema("event_id bigint, body string").parquet(source), "body")
+    start_fanout(stream, root, checkpoint, received=ts_literal("2024-02-10T12:34:56.789012Z")).awaitTermination()
+    rejects = t.spark.read.parquet(f"{root}/rejected")
+    found = records_of(rejects, t.spark.read.parquet(source), "body")
+    return found.select("event_id", F.array_join("errors", ";").alias("errors"))
+
+
+@query("raw_tee_record", f"SELECT event_id, {pick_sql(TYPES)} AS event_type FROM events")
+def raw_record(t: Tables) -> DataFrame:
+    """The raw tee of a stream keeps the other fields of the queue's record."""
+    return t.spark.read.parquet(f"{_fanned_out(t)}/raw").select("record.event_id", "event_type")
+
+
+@query("bronze_rejects_to_records", f"SELECT event_id, 'missing: mid' AS errors FROM {source_sql(SYNC_TYPES, SYNC_BODY)} WHERE mid IS NULL AND NOT x")
+def bronze_rejects_to_records(t: Tables) -> DataFrame:
+    """The same for events that no mapping takes, with the queue's id instead of a file."""
+    rows, root = records(t, SYNC_TYPES, SYNC_BODY), scratch_dir(t.spark, "bronze")
+    pointed = with_pointer(rows, "data", record_id="event_id")
+    write_bronze(decode_envelopes(pointed, keep=["pointer"]), root, run="r1", tables=["sensor_sync"])
+    rejects = t.spark.read.parquet(f"{root}/_rejected/mapping")
+    return records_of(rejects, rows, "data", record_id="event_id").select("event_id", F.array_join("errors", ";").alias("errors"))
+
+
+@query(
+    "dead_letter_rejects",
+    "SELECT 'x' || event_id AS letter, 'payload: not base64 JSON' AS errors FROM events WHERE event_id % 13 = 5",
+)
+def dead_letter_rejects(t: Tables) -> DataFrame:
+    """Letters that a replay could not decode, found again in their files."""
+    letters, out, checkpoint = (scratch_dir(t.spark, n) for n in ("errors", "replayed", "checkpoint"))
+    text = F.concat(F.lit('{"pubSubEvent":"act_created","n":'), "event_id", F.lit("}"))
+    data = F.when(F.col("event_id") % 13 == 5, F.concat(F.lit("x"), "event_id")).otherwise(encode_base64(text))
+    line = F.concat(F.lit('{"rawData":"'), data, F.lit('"}')).alias("value")
+    t.events.select(line, F.lit("act_createdprocessing-failed").alias("f")).write.partitionBy("f").text(letters)
+    start_replay(t.spark, letters, out, checkpoint).awaitTermination()
+    rejects = t.spark.read.parquet(f"{out}_rejected")
+    found = records_of(rejects, read_dead_letters(t.spark, letters), "raw_data")
+    return found.select(F.col("raw_data").alias("letter"), F.array_join("errors", ";").alias("errors"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeloom.sources.envelopes import decode_payload
+from lakeloom.sources.pointers import POINTER
 
 SCHEMA = T.StructType([T.StructField("rawData", T.StringType())])
 
@@ -35,6 +36,7 @@ def _named(rows: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         failed_event(path).alias("failed_event"),
         F.col("rawData").alias("raw_data"),
+        F.struct(path.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.lit(None).cast("string").alias("id"), F.xxhash64("rawData").alias("print")).alias(POINTER),
     )
 
 
@@ -58,4 +60,5 @@ def replay_records(letters: DataFrame) -> DataFrame:
         F.concat(F.col("failed_event"), F.lit("-retry")).alias("feed"),
         F.to_json("payload").alias("data"),
         "payload",
+        POINTER,
     )

@@ -11,19 +11,20 @@ from lakeloom.mapping.registry import MAPPINGS
 from lakeloom.operators.routing import split_quarantine
 from lakeloom.plans.bronze import tables_present
 from lakeloom.sources.envelopes import decode_envelopes
+from lakeloom.sources.pointers import POINTER, pointer_of
 from lakeloom.streaming.names import stream_name
 
 
 def write_bronze_batch(records: DataFrame, batch_id: int, root: str, *, stream: str, column: str, tables: list[str] | None, event_type: Column | None = None) -> None:
     """Map one micro-batch; the partitions of a stream's repeated batch replace themselves."""
-    envelopes = decode_envelopes(records, column, event_type=event_type).persist(StorageLevel.MEMORY_AND_DISK)
+    envelopes = decode_envelopes(records, column, keep=pointer_of(records), event_type=event_type).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = split_quarantine(envelopes, tables)
         _write(bad, stream, batch_id, f"{root}/_rejected/envelope")
         for name in tables_present(good, tables):
-            mapped = map_events(good, MAPPINGS[name], keep=["event_type"])
-            _write(good_rows(mapped), stream, batch_id, f"{root}/{name}", "event_type", "date_year", "date_month")
-            _write(rejected_rows(mapped, keep=["event_type"]), stream, batch_id, f"{root}/_rejected/{name}")
+            mapped = map_events(good, MAPPINGS[name], keep=["event_type", *pointer_of(good)])
+            _write(good_rows(mapped).drop(POINTER), stream, batch_id, f"{root}/{name}", "event_type", "date_year", "date_month")
+            _write(rejected_rows(mapped, keep=["event_type", *pointer_of(mapped)]), stream, batch_id, f"{root}/_rejected/{name}")
     finally:
         envelopes.unpersist()
 

@@ -8,24 +8,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeloom.operators.routing import adherence_subset, latency_rows, raw_tee, typed_feed
 from lakeloom.sources.envelopes import decode_payload, envelope_columns
+from lakeloom.sources.pointers import pointer_of
 from lakeloom.streaming.names import stream_name
 
 SINKS = ("typed", "raw", "adherence", "latency", "rejected")
 
 
-def feeds(decoded: DataFrame, received) -> dict[str, DataFrame]:
-    """The five outputs of one set of decoded records."""
-    envelopes = envelope_columns(decoded, keep=[F.to_json("payload").alias("data")])
+def feeds(decoded: DataFrame, received, *, column: str = "body") -> dict[str, DataFrame]:
+    """The five outputs of one set of decoded records.
+
+    The raw tee keeps the other fields of the queue's record, as ``record``; rejects keep the pointer to it.
+    """
+    pointer = pointer_of(decoded)
+    others = [c for c in decoded.columns if c not in (column, "payload", *pointer)]
+    envelopes = envelope_columns(decoded, keep=[F.to_json("payload").alias("data"), *pointer])
     good = envelopes.filter(F.size("envelope_errors") == 0)
     typed = typed_feed(good).select("event_type", "pub_sub_event_id", "data")
     usable = decoded.filter(F.col("payload").isNotNull())
     return {
         "typed": typed,
-        "raw": raw_tee(usable),
+        "raw": raw_tee(usable, keep=[F.struct(*others).alias("record")] if others else []),
         "adherence": adherence_subset(usable),
         "latency": latency_rows(good, received),
         "rejected": envelopes.filter(F.size("envelope_errors") > 0).select(
-            "event_type", "pub_sub_event_id", F.col("envelope_errors").alias("errors")
+            *pointer, "event_type", "pub_sub_event_id", F.col("envelope_errors").alias("errors")
         ),
     }
 
@@ -40,7 +46,7 @@ def write_feeds(records: DataFrame, batch_id: int, root: str, *, stream: str, co
     received = F.current_timestamp() if received is None else received
     kept = decode_payload(records, column).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for name, rows in feeds(kept, received).items():
+        for name, rows in feeds(kept, received, column=column).items():
             partitions = ["stream", "batch_id", "event_type"] if name == "typed" else ["stream", "batch_id"]
             (
                 rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)})

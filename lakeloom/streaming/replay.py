@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeloom.operators.latest import assign_batches
 from lakeloom.sinks.records import BATCH_SIZE
 from lakeloom.sources.dead_letters import replay_records, stream_dead_letters
+from lakeloom.sources.pointers import POINTER
+from lakeloom.streaming.delivery import deliver_batches
 from lakeloom.streaming.names import stream_name
 
 
@@ -32,13 +34,17 @@ def start_replay(
     archive: str | None = None,
     name: str | None = None,
     deliver: Callable[[DataFrame, int], None] | None = None,
+    send: Callable[[str, list[Row]], None] | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Replay every error file once.
 
+    ``send`` gets the records of each file and event type in batches of 100, on the executors, each
+    batch until it has taken it: ``ledger`` (by default ``<out>_sent``) remembers what was taken.
+
     The checkpoint remembers the files, so a restart adds nothing. With ``archive`` the
     files are moved there after their batch is committed, instead of being deleted.
-    Letters that cannot be decoded are not delivered: ``<out>_rejected`` names their file and
-    block.
+    Letters that cannot be decoded are not delivered: ``<out>_rejected`` points to them.
     """
     stream = stream_name(checkpoint, name)
     options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
@@ -46,8 +52,9 @@ def start_replay(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         decoded = replay_records(batch).drop("payload")
-        records = decoded.filter(F.col("data").isNotNull())
-        lost = decoded.filter(F.col("data").isNull()).select("file", "block", "feed", F.lit("payload: not base64 JSON").alias("error"))
+        records = decoded.filter(F.col("data").isNotNull()).drop(POINTER)
+        lost = decoded.filter(F.col("data").isNull()).select(
+            POINTER, "file", "block", "feed", F.lit("payload: not base64 JSON").alias("error"), F.array(F.lit("payload: not base64 JSON")).alias("errors"))
         for rows, path in ((records, out), (lost, f"{out.rstrip('/')}_rejected")):
             (
                 rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)})
@@ -58,6 +65,8 @@ def start_replay(
             )
         if deliver is not None:
             deliver(records, batch_id)
+        if send is not None:
+            deliver_batches(in_batches(records), send, ledger or f"{out.rstrip('/')}_sent")
 
     return (
         letters.writeStream.foreachBatch(write)
@@ -79,10 +88,3 @@ def read_new(spark: SparkSession, path: str, schema, checkpoint: str, handle: Ca
         .trigger(availableNow=True)
         .start()
     )
-
-
-def once_per_event(stream: DataFrame, ts: Column | str, *, key: str = "pub_sub_event_id", delay: str = "1 day") -> DataFrame:
-    """Optional: drop repeats of an event id that arrive within the delay."""
-    name = ts if isinstance(ts, str) else "_ts"
-    dated = stream if isinstance(ts, str) else stream.withColumn(name, ts)
-    return dated.withWatermark(name, delay).dropDuplicatesWithinWatermark([key])
