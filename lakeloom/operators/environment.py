@@ -79,3 +79,11 @@ def environmental_hours(weather: DataFrame, air: DataFrame, *, order: list[str]
     return both.select(
         "location_id", "hour", *[F.col(source).try_cast(kind).alias(name) for name, (source, kind) in MEASURES.items()]
     )
+
+
+def day_environment(environment: DataFrame) -> DataFrame:
+    """The hours of a location and day as one row: a map from hour to measures, of 24 entries at most."""
+    return (
+        environment.groupBy("location_id", F.date_trunc("day", "hour").alias("day"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("hour", F.struct(*MEASURES)))).alias("hours"))
+    )

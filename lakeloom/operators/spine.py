@@ -66,3 +66,16 @@ def hour_spine(spans: DataFrame, *, into: str = "hour") -> DataFrame:
     """One row per hour of every span. A map-side step: nothing is shuffled."""
     kept = [c for c in spans.columns if c not in ("first_hour", "last_hour")]
     return spans.select(*kept, F.explode(hours_between(F.col("first_hour"), F.col("last_hour"))).alias(into))
+
+
+def day_spans(spans: DataFrame, *, into: str = "day") -> DataFrame:
+    """Spans cut at the borders of days, each with the begin of its day. A map-side step."""
+    first, last = F.date_trunc("day", "first_hour"), F.date_trunc("day", "last_hour")
+    days = F.when(F.col("first_hour") <= F.col("last_hour"), F.sequence(first, last, F.expr("INTERVAL 1 DAY")))
+    cut = spans.withColumn(into, F.explode(days))
+    return cut.withColumns(
+        {
+            "first_hour": F.greatest("first_hour", into),
+            "last_hour": F.least("last_hour", F.col(into) + F.expr("INTERVAL 23 HOURS")),
+        }
+    )

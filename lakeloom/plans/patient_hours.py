@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakeloom.functions.times import Period, iso_ms, parse_any_ts
 from lakeloom.operators.asof import LOOKBACK_HOURS, asof_spans, point_timeline
 from lakeloom.operators.conform import flatten_structs
-from lakeloom.operators.environment import MEASURES, environmental_hours
-from lakeloom.operators.spine import hour_spans, hour_spine
+from lakeloom.operators.environment import MEASURES, day_environment, environmental_hours
+from lakeloom.operators.spine import day_spans, hour_spans, hour_spine
 from lakeloom.sinks.tables import stale_partitions, write_partitions
 from lakeloom.sources.tables import read_month, read_months
 
@@ -74,11 +74,21 @@ def located_hours(spans: DataFrame, timeline: DataFrame) -> DataFrame:
     return hour_spine(located_spans(spans, timeline))
 
 
-def with_environment(hours: DataFrame, environment: DataFrame) -> DataFrame:
-    """Left join on the weather coordinate and the hour."""
-    h, e = hours.alias("h"), environment.alias("e")
-    on = [F.col("h.weather_coordinate_id") == F.col("e.location_id"), F.col("h.hour") == F.col("e.hour")]
-    return h.join(e, on, "left").select("h.*", *[F.col(f"e.{m}") for m in MEASURES])
+def with_environment(spans: DataFrame, environment: DataFrame) -> DataFrame:
+    """One row per hour of the spans with the measures of its weather coordinate, or nulls.
+
+    Spans are cut at day borders and joined with the hours of a location and day as one row, so what
+    is shuffled grows with days and not with hours; the expansion to hours comes last and stays in
+    the tasks of the join. A location that holds many patients is as many keys as the period has
+    days, and the join may split those.
+    """
+    daily = day_environment(environment).alias("e")
+    cut = day_spans(spans).alias("s")
+    joined = cut.join(daily, [F.col("s.weather_coordinate_id") == F.col("e.location_id"), F.col("s.day") == F.col("e.day")], "left")
+    kept = [F.col(f"s.{c}") for c in spans.columns]
+    hours = hour_spine(joined.select(*kept, "e.hours"))
+    measured = F.try_element_at("hours", F.col("hour"))
+    return hours.select(*[c for c in hours.columns if c != "hours"], *[measured[m].alias(m) for m in MEASURES])
 
 
 def patient_hours(
@@ -101,9 +111,9 @@ def patient_hours(
     """
     year, month = period.year, period.month
     timeline = location_timeline(read_months(points, year, month, lookback_days=lookback_days))
-    hours = located_hours(patient_spans(patients, period, now), timeline)
+    spans = located_spans(patient_spans(patients, period, now), timeline)
     environment = environmental_hours(read_month(weather, year, month), read_month(air, year, month), order=survivor)
-    return shape(with_environment(hours, environment))
+    return shape(with_environment(spans, environment))
 
 
 def shape(hours: DataFrame) -> DataFrame:
