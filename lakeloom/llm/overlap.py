@@ -134,11 +134,11 @@ def _text_id(text: Column) -> Column:
 def _able(prints: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """Sets that do not have more shown columns of their own than they can spare."""
     spare = f"n * {100 - least} div 100"
-    each = prints.where(f"n * 100 >= (n + 1) * {least}").select("fp", "n", F.explode("shown").alias("col"))
     # the columns of a small set tell only where all possible partners show them, too
     low = -(1 << 63)  # turns unsigned order into signed order
     tells = (F.col("n") * 100 < SMALL * least) | (F.col("col").bitwiseXOR(F.lit(low)) <= F.lit(_limit(least) - 1 + low))
-    lone = each.groupBy("col").agg(F.min("fp").alias("fp"), F.max("fp").alias("other"), F.min("n").alias("n")).where("fp = other").where(tells)
+    each = prints.where(f"n * 100 >= (n + 1) * {least}").select("fp", "n", F.explode("shown").alias("col")).select("fp", "col", tells.alias("tells"))
+    lone = each.groupBy("col").agg(F.min("fp").alias("fp"), F.max("fp").alias("other"), F.bool_and("tells").alias("tells")).where("tells and fp = other")
     own = lone.groupBy("fp").agg(F.count(F.lit(1)).alias("own"))
     return sets.where(f"n * 100 >= (n + 1) * {least}").join(own, "fp", "left").where(f"coalesce(own, 0) <= {spare}").drop("own")
 
