@@ -103,9 +103,13 @@ def with_routing_errors(envelopes: DataFrame, tables: list[str] | None = None) -
 def split_quarantine(envelopes: DataFrame, tables: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Usable envelopes, and the ids and reasons of the others, with the pointers to their records if there are any."""
     checked = with_routing_errors(envelopes, tables)
-    good = checked.filter(F.size("envelope_errors") == 0)
-    bad = checked.filter(F.size("envelope_errors") > 0).select(
-        *pointer_of(checked),
+    return checked.filter(F.size("envelope_errors") == 0), quarantine_rows(checked.filter(F.size("envelope_errors") > 0))
+
+
+def quarantine_rows(failed: DataFrame) -> DataFrame:
+    """Ids and reasons of envelopes that cannot be used."""
+    return failed.select(
+        *pointer_of(failed),
         "user_id",
         "group_id",
         iso_ms(F.col("call_ts")).alias("call_time"),
@@ -113,7 +117,12 @@ def split_quarantine(envelopes: DataFrame, tables: list[str] | None = None) -> t
         "event_type",
         F.col("envelope_errors").alias("errors"),
     )
-    return good, bad
+
+
+def table_of(event_type: Column) -> Column:
+    """The bronze table that an event type goes to; null for unknown types."""
+    known = F.create_map(*[F.lit(x) for t, m in EVENT_TYPES.items() for x in (t, m.name)])
+    return F.try_element_at(known, event_type)
 
 
 def feed_counts(envelopes: DataFrame) -> DataFrame:

@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeloom.mapping.compiler import good_rows, map_events, rejected_rows
-from lakeloom.mapping.registry import MAPPINGS
-from lakeloom.operators.routing import split_quarantine
-from lakeloom.plans.bronze import tables_present
+from lakeloom.operators.routing import quarantine_rows
+from lakeloom.plans.bronze import REJECTED, by_table, map_table
 from lakeloom.sources.envelopes import decode_envelopes
-from lakeloom.sources.pointers import POINTER, pointer_of
+from lakeloom.sources.pointers import pointer_of
 from lakeloom.streaming.names import stream_name
 
 
 def write_bronze_batch(records: DataFrame, batch_id: int, root: str, *, stream: str, column: str, tables: list[str] | None, event_type: Column | None = None) -> None:
     """Map one micro-batch; the partitions of a stream's repeated batch replace themselves."""
-    envelopes = decode_envelopes(records, column, keep=pointer_of(records), event_type=event_type).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good, bad = split_quarantine(envelopes, tables)
-        _write(bad, stream, batch_id, f"{root}/_rejected/envelope")
-        for name in tables_present(good, tables):
-            mapped = map_events(good, MAPPINGS[name], keep=["event_type", *pointer_of(good)])
-            _write(good_rows(mapped).drop(POINTER), stream, batch_id, f"{root}/{name}", "event_type", "date_year", "date_month")
-            _write(rejected_rows(mapped, keep=["event_type", *pointer_of(mapped)]), stream, batch_id, f"{root}/_rejected/{name}")
-    finally:
-        envelopes.unpersist()
+    envelopes = decode_envelopes(records, column, keep=pointer_of(records), event_type=event_type)
+    with by_table(envelopes, tables) as parts:
+        if REJECTED in parts:
+            _write(quarantine_rows(parts.pop(REJECTED)), stream, batch_id, f"{root}/_rejected/envelope")
+        for name, rows in parts.items():
+            map_table(
+                rows,
+                name,
+                lambda good, name=name: _write(good, stream, batch_id, f"{root}/{name}", "event_type", "date_year", "date_month"),
+                lambda bad, name=name: _write(bad, stream, batch_id, f"{root}/_rejected/{name}"),
+            )
 
 
 def _write(rows: DataFrame, stream: str, batch_id: int, path: str, *partitions: str) -> None:
@@ -62,8 +60,3 @@ def start_bronze(
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(f"bronze-{stream}")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def bronze_stream(records: DataFrame, name: str, *, column: str = "data") -> DataFrame:
-    """One bronze table as a map-only stream, for a feed of its own."""
-    return good_rows(map_events(decode_envelopes(records, column), MAPPINGS[name]))

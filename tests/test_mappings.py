@@ -10,7 +10,7 @@ from lakeloom.mapping import registry
 from lakeloom.mapping.compiler import good_rows, map_events, rejected_rows
 from lakeloom.mapping.spec import Mapping, if_missing, if_null, listing, optional, required
 from lakeloom.operators.routing import split_quarantine
-from lakeloom.plans.bronze import bronze_table, tables_present, write_bronze
+from lakeloom.plans.bronze import bronze_table, by_table, tables_present, write_bronze
 from lakeloom.session import scratch_dir
 from lakeloom.sources.envelopes import decode_envelopes
 
@@ -213,3 +213,32 @@ def test_bronze_job(spark):
     assert tables_present(envelopes) == ["sensor_sync"]
     assert bronze_table(good, "sensor_sync").count() == 1
     assert good_rows(map_events(envelopes, registry.MAPPINGS["act"])).count() == 0
+
+
+def test_feed_of_many_tables_is_read_once(spark):
+    """All tables and both kinds of rejects from one computation of the feed; each table reads its own files only."""
+    types = [m.event_types[0] for m in registry.MAPPINGS.values()]
+    rows = [record(t, {}) for t in types for _ in range(3)] + [record("mystery", {}), "###"]
+    calls, small = spark.sparkContext.accumulator(0), ["patient_login", "subgroup", "datalake_message", "act"]
+
+    def run(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    feed = spark.createDataFrame([(r,) for r in rows], "data string").mapInArrow(run, "data string")
+    with by_table(decode_envelopes(feed)) as parts:
+        assert calls.value == len(rows)
+        assert sorted(parts) == sorted([*registry.MAPPINGS, "_rejected"])
+        assert all(f"_bronze_table={name}/" in f for name, own in parts.items() for f in own.inputFiles())
+        for name in small:
+            plan = map_events(parts[name], registry.MAPPINGS[name])._jdf.queryExecution().executedPlan().toString()
+            assert "unbase64" not in plan and "parse_json" not in plan and parts[name].count() == 3
+        assert parts["_rejected"].count() == 2
+    root = scratch_dir(spark, "bronze")
+    write_bronze(decode_envelopes(feed), root, run="r1", tables=small)
+    assert calls.value == 2 * len(rows)
+    good = {n: spark.read.parquet(f"{root}/{n}").count() for n in small[:3]}
+    assert good == dict.fromkeys(small[:3], 3)
+    assert [(r.bronze_table, r["count"]) for r in spark.read.parquet(f"{root}/_rejected/mapping").groupBy("bronze_table").count().collect()] == [("act", 3)]
+    assert spark.read.parquet(f"{root}/_rejected/envelope").count() == 2 + 3 * (len(types) - len(small))

@@ -54,3 +54,10 @@ def test_gate_keeps_the_old_table(spark):
 def test_conform_within_computes_once(spark):
     rows, calls = counted(spark, spark.createDataFrame(ROWS, "k string, n string, t string"))
     assert conform_within(rows, SCHEMA).count() == 4 and calls.value == len(ROWS)
+
+
+def test_empty_rows_are_counted(spark):
+    target = scratch_dir(spark, "target")
+    report = publish(spark.createDataFrame([], "k string, n string, t string").repartition(3, "k"), target, SCHEMA)
+    assert (report.rows, report.rejected, report.failed) == (0, 0, {}) and read_path(spark, target).count() == 0
+    assert conform_within(spark.createDataFrame([], "k string, n string, t string").repartition(3, "k"), SCHEMA).count() == 0
