@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from lakeloom.llm.common import staged
+from lakeloom.llm.common import discard, recorded, staged
 from lakeloom.llm.simhash import SEED, components, forest
 
 WORDS, LEAST = 4, 85
@@ -200,9 +200,9 @@ def _parts(members: DataFrame, by: list[str], cap: int, most: int) -> DataFrame:
     return members.join(sizes, by)
 
 
-def set_links(docs: DataFrame, prints: DataFrame, sets: DataFrame, words: int, least: int, cap: int, most: int) -> DataFrame:
-    """Links ``u, v`` that connect all sets whose Jaccard similarity is ``least`` percent or more."""
-    rows = _rows(docs, _able(prints, sets, least), words)
+def set_links(docs: DataFrame, able: DataFrame, words: int, least: int, cap: int, most: int) -> DataFrame:
+    """Links ``u, v`` that connect all sets whose Jaccard similarity is ``least`` percent or more, among those that can have any."""
+    rows = _rows(docs, able, words)
     prefix = staged(_prefixes(rows, least), "prefixes")
     pivots = prefix.groupBy("col").agg(F.min(F.struct("fp", "n")).alias("pivot"), F.count(F.lit(1)).alias("times")).where("times > 1")
     members = staged(prefix.join(pivots.drop("times"), "col"), "members")
@@ -233,13 +233,17 @@ def set_links(docs: DataFrame, prints: DataFrame, sets: DataFrame, words: int, l
 
 def near_sets(docs: DataFrame, words: int, least: int, *, cap: int = CAP, most: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """``doc_id, tid, fp, n`` of every row (its text's and its set's hash, null without words, and size), and ``fp, root, component_id`` (one set's hash and the smallest doc_id for all that links reach)."""
-    prints = staged(_prints(docs, words, least), "prints")
+    with recorded() as made:
+        shown = staged(_prints(docs, words, least), "shown")
+    prints = staged(shown.drop("shown"), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("first")
     sets = staged(prints.where("n > 0").groupBy("fp").agg(first, F.max("n").alias("n")), "sets")
-    roots = components(set_links(docs, prints, sets, words, least, cap, most))
+    able = staged(_able(shown, sets, least), "able")
+    discard(docs.sparkSession, made)  # the columns shown at first are the largest of these tables
+    roots = components(set_links(docs, able, words, least, cap, most))
     named = sets.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.col("first.doc_id").alias("doc_id"), F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return prints.select("doc_id", "tid", "fp", "n"), named.join(smallest, "root").select("fp", "root", "component_id")
+    return prints, named.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def classes(docs: DataFrame, words: int = WORDS, least: int = LEAST, *, cap: int = CAP, most: int = ROWS) -> DataFrame:
