@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import os
 import uuid
 
@@ -51,6 +52,28 @@ def discard(spark: SparkSession, made: list[tuple[str, str | None]]) -> None:
         found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
+def giving_back(run):
+    """The task function ``run``, after which the worker returns memory that it holds but does not use.
+
+    Workers are kept from stage to stage; what one stage needed would else stay with them.
+    """
+
+    @functools.wraps(run)
+    def task(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # a C library without it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the cluster's shared folder and read it back, which also cuts the lineage."""
     path = scratch_dir(df.sparkSession, label)

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeloom.llm.common import fold_of
+from lakeloom.llm.common import fold_of, giving_back
 from lakeloom.llm.tokens import slices
 
 BINS, SWITCH, SCRIPT_SHARE = 1 << 15, 12.0, 0.01
@@ -179,7 +179,7 @@ def train(rows: DataFrame) -> Model:
             seen = np.flatnonzero(both)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(seen, pa.int32()), pa.array(both[seen], pa.int64())], names=["lang", "slot", "n"])
 
-    found = rows.select("text", "lang").mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.select("text", "lang").mapInArrow(giving_back(count), "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     sums = {}
     for lang, own in found.groupby("lang"):
         sums[lang] = np.zeros(BINS + N_SCRIPTS, np.int64)
@@ -200,7 +200,7 @@ def labelled(rows: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
             columns += [pa.array(found[0], pa.string()), pa.array(found[1], pa.float64()), pa.array(found[2], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score", "spans"])
 
-    return picked.mapInArrow(rows_, schema)
+    return picked.mapInArrow(giving_back(rows_), schema)
 
 
 def predict_all(docs: DataFrame, folds: int = 5) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from lakeloom.llm.common import discard, recorded, staged
+from lakeloom.llm.common import discard, giving_back, recorded, staged
 from lakeloom.llm.simhash import SEED, components, forest
 
 WORDS, LEAST = 4, 85
@@ -124,7 +124,7 @@ def _prints(docs: DataFrame, words: int, least: int) -> DataFrame:
                 [batch.column("doc_id"), batch.column("tid"), pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()), held],
                 names=["doc_id", "tid", "fp", "n", "shown"])
 
-    return rows.mapInArrow(run, rows.select("doc_id", "tid").schema.add("fp", "long").add("n", "long").add("shown", ArrayType(LongType())))
+    return rows.mapInArrow(giving_back(run), rows.select("doc_id", "tid").schema.add("fp", "long").add("n", "long").add("shown", ArrayType(LongType())))
 
 
 def _text_id(text: Column) -> Column:

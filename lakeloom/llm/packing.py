@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lakeloom.llm.common import staged
+from lakeloom.llm.common import giving_back, staged
 from lakeloom.llm.tokens import arrow_rows, encoded_batches
 
 CAPACITY, ROUNDS = 1024, 1500
@@ -160,7 +160,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, lowers: bool, end: int, cap
             seen += np.bincount(length, minlength=capacity + 1)
             yield arrow_rows(_PIECES, doc_id=batch.column("doc_id").take(pa.array(doc)), piece=piece, start=start, length=length, ids_crc32=crc, nth=nth)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECE_KINDS)
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(cut), _PIECE_KINDS)
     return rows.withColumn("part", F.spark_partition_id())
 
 
