@@ -42,6 +42,8 @@ HEADLINE = {
     "fuzzy_exact_join": "name_join_exact",
     "member_match": "member_match",
     "send_batches": "send_batches",
+    "upsert_partitioned": "upsert_partitioned",
+    "bronze_to_dim_subgroup": "bronze_to_dim_subgroup",
 }
 
 
