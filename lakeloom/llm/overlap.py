@@ -147,7 +147,8 @@ def _rows(docs: DataFrame, able: DataFrame, words: int) -> DataFrame:
     """The whole sets, from the text of one document each."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_id(F.col("text")).alias("tid"), "text")
     wanted = able.select(F.col("first.doc_id").alias("id"), F.col("first.tid").alias("hash"))
-    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tid") == F.col("hash")), "left_semi").select("text")
+    # texts are dealt by key at every size, not only where the wanted sets are too many to be sent whole
+    found = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tid") == F.col("hash")), "left_semi").select("text")
 
     def run(batches):
         for batch in batches:
