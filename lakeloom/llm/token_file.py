@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lakeloom.llm.common import parts_for, put_file, shared_files, staged
+from lakeloom.llm.common import giving_back, parts_for, put_file, shared_files, small_batches, staged
 from lakeloom.llm.tokens import arrow_rows, encoded_batches
 from lakeloom.session import scratch_dir
 
@@ -95,9 +95,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, lowers: boo
         put_file(target + ".docs", index)
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [target], "n_docs": [sum(r.num_rows for r in kept)], "n_tokens": [place]})
 
+    small_batches(docs.sparkSession)  # not a whole file's texts at once on both sides of a worker
     n = parts_for(docs, rows_per_file)
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    return staged(ordered.mapInArrow(write, _FILES), "token-files")
+    return staged(ordered.mapInArrow(giving_back(write), _FILES), "token-files")
 
 
 class TokenFile:
@@ -148,7 +149,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
     kinds = "part int, doc_id long, at long, n_tokens long, ids_crc32 long"
     spread = files.select("part", "path").repartition(max(1, files.count()))
-    return spread.mapInArrow(read, kinds)
+    return spread.mapInArrow(giving_back(read), kinds)
 
 
 def token_file_digest(docs: DataFrame, tokenizer: str, *, lowers: bool, end: int) -> DataFrame:
