@@ -1,17 +1,19 @@
 """Katz backoff language model over words, trained and evaluated with Spark.
 
-Order two over a vocabulary of the VOCABULARY most frequent training words; every other word is
-the class RARE, spelled out by its own unigram share within the class, so the model covers any
-text and sums to one. Seen pairs get their Good-Turing discounted share; what is left of a
+Order two over all training words; what never occurred in training is one more word, so the model
+covers any text and sums to one. Seen pairs get their Good-Turing discounted share; what is left of a
 history goes to the unigrams of the words not seen after it, by a backoff weight that makes the
-whole sum to one exactly. A token is evaluated recursively: pair, else weight times unigram, and
-for rare words times their share of the class.
-
-Counts of words and of pairs are stored in tables partitioned by hash. What tasks get whole is
-bounded by parameters: counts and weights of the vocabulary, and the pairs that are more than one
-in HOT_PAIRS of all (at most HOT_PAIRS of them). Blocks of documents resolve these themselves and
-ask the tables for the rest, so no frequent word or pair meets in one task. Words are known by
-64-bit hashes; the chance that any two of a billion words share one is about 3 %.
+whole sum to one exactly. A token is evaluated recursively: pair, else weight times unigram. The
+unigrams are those of the base score, so a document's score is its base score plus, for every pair,
+either the log of its share less that of the unigram, or the log of the weight.
+
+Counts of words and of pairs are stored in tables partitioned by hash. The VOCABULARY most frequent
+words have numbers; tasks get their counts, totals and weights whole, and the pairs that are more
+than one in HOT_PAIRS of all (at most HOT_PAIRS of them). That is a cache and changes no result:
+pairs of two frequent words lie by pair, all others in the bucket of their rare word, two rare ones
+in that of the first. Blocks of documents resolve what they can themselves and ask the tables for
+the rest, so no frequent word or pair meets in one task. Words are known by 64-bit hashes; the
+chance that any two of a billion words share one is about 3 %.
 
 Null and empty texts are the end token alone. Documents whose crc32 fold is 0 do not train. Equal
 doc_ids are separate rows; with no training row all words are unknown. Other columns are ignored.
@@ -19,8 +21,6 @@ doc_ids are separate rows; with no training row all words are unknown. Other col
 
 from __future__ import annotations
 
-from itertools import repeat
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -105,6 +105,7 @@ class Vocabulary:
         # shares within the rare class: counts plus ADD over this
         self.rare_total = rest + ADD * (all_words - int((self.counts > 0).sum()) + 1)
         self.base_total = all_tokens + ADD * (all_words + 1)
+        self.base = (self.counts + ADD) / self.base_total
 
     def ids(self, block: Block) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.hashes, block.hashes), max(0, self.size - 1))
@@ -163,7 +164,7 @@ def vocabulary(words: DataFrame, size: int) -> Vocabulary:
 
 
 def pair_counts(docs: DataFrame, vocab, buckets: int) -> DataFrame:
-    """Table of training pairs with their counts."""
+    """Table of training pairs of classes with their counts: a small model, in which all words outside the vocabulary are one."""
 
     def count(batches):
         words = vocab.value
@@ -175,39 +176,64 @@ def pair_counts(docs: DataFrame, vocab, buckets: int) -> DataFrame:
     return _table(docs.select("text").mapInArrow(count, _BLOB), "pairs")
 
 
+_KINDS = [f"k{r}" for r in range(1, DISCOUNTED + 2)]
+_SUMS = [*_KINDS, "total", "mass"]
+_SUM_ROWS = "h long, " + ", ".join(f"{c} double" for c in _SUMS)
+
+
+def _sums(spot: np.ndarray, size: int, n: np.ndarray, share: np.ndarray) -> list[np.ndarray]:
+    """By history: pairs counted 1 .. DISCOUNTED + 1 times, their counts, and the unigram shares of their words."""
+    n = n.astype(np.int64)
+    kinds = [np.bincount(spot, n == r, size) for r in range(1, DISCOUNTED + 2)]
+    return [*kinds, np.bincount(spot, n, size), np.bincount(spot, share, size)]
+
+
+def _sum_rows(history: np.ndarray, n: np.ndarray, share: np.ndarray) -> pa.RecordBatch:
+    some, spot = np.unique(history, return_inverse=True)
+    cols = _sums(spot, len(some), n, share)
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *(pa.array(c, pa.float64()) for c in cols)], names=["h", *_SUMS])
+
+
+def _weights(sums: list[np.ndarray], discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a history's counts are divided by, and its backoff weight (1 for one never seen)."""
+    *kinds, total, mass = sums
+    lost = sum(r * (1 - discount[r]) * kinds[r - 1] for r in range(1, DISCOUNTED + 1))
+    # a history with nothing to discount gives its unseen words the weight of one more token
+    whole = total + (lost <= 1e-9)
+    left = 1 - (total - lost) / whole
+    free = 1 - mass
+    weight = np.where(total > 0, left / np.maximum(free, 1e-300), 1.0)
+    full = (total > 0) & (free <= 1e-9)  # every class was seen: nothing to back off to
+    whole[full], weight[full] = (total - lost)[full], 0.0
+    return whole, weight
+
+
 class Backoff:
-    """Discounts, history totals and backoff weights, all bounded by the vocabulary, and the most frequent pairs."""
+    """Discounts, history totals and backoff weights, all bounded by the vocabulary, and the most frequent pairs.
 
-    def __init__(self, pairs: DataFrame, vocab, hot_pairs: int):
+    ``rest`` holds the sums of the pairs with words outside the vocabulary; without it ``pairs`` are of classes.
+    """
+
+    def __init__(self, pairs: DataFrame, vocab, hot_pairs: int, rest: DataFrame | None = None):
         words: Vocabulary = vocab.value
+        classes = rest is None
 
         def sums(batches):
-            unigram = vocab.value.unigram
+            share = vocab.value.unigram if classes else vocab.value.base
             for batch in batches:
                 for data in batch.column("data"):
                     keys, counts = unpacked(data.as_py())
-                    history, word, n = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), counts.astype(np.int64)
-                    some, spot = np.unique(history, return_inverse=True)
-                    cols = [np.bincount(spot, n == r, len(some)) for r in range(1, DISCOUNTED + 2)]
-                    cols += [np.bincount(spot, n, len(some)), np.bincount(spot, unigram[word], len(some))]
-                    yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(c.astype(np.float64)) for c in cols)], names=["h", *(f"k{r}" for r in range(1, DISCOUNTED + 2)), "total", "mass"])
-
-        named = [f"k{r}" for r in range(1, DISCOUNTED + 2)] + ["total", "mass"]
-        rows = pairs.select("data").mapInArrow(sums, "h long, " + ", ".join(f"{c} double" for c in named))
-        found = rows.groupBy("h").agg(*(F.sum(c).alias(c) for c in named)).toPandas()  # a row for each word of the vocabulary at most
-        size = words.start + 1
-        table = {c: np.zeros(size) for c in named}
-        for c in named:
+                    yield _sum_rows((keys >> np.uint64(32)).astype(np.int64), counts, share[(keys & np.uint64(0xFFFFFFFF)).astype(np.int64)])
+
+        rows = pairs.select("data").mapInArrow(sums, _SUM_ROWS)
+        if rest is not None:
+            rows = rows.unionByName(rest)
+        found = rows.groupBy("h").agg(*(F.sum(c).alias(c) for c in _SUMS)).toPandas()  # a row for each word of the vocabulary at most
+        table = {c: np.zeros(words.start + 1) for c in _SUMS}
+        for c in _SUMS:
             table[c][found["h"].to_numpy(np.int64)] = found[c].to_numpy()
-        self.discount = good_turing([table[f"k{r}"].sum() for r in range(1, DISCOUNTED + 2)])
-        lost = sum(r * (1 - self.discount[r]) * table[f"k{r}"] for r in range(1, DISCOUNTED + 1))
-        # a history with nothing to discount gives its unseen words the weight of one more token
-        self.total = table["total"] + (lost <= 1e-9)
-        left = 1 - (table["total"] - lost) / self.total
-        free = 1 - table["mass"]
-        self.weight = np.where(table["total"] > 0, left / np.maximum(free, 1e-300), 1.0)
-        full = (table["total"] > 0) & (free <= 1e-9)  # every class was seen: nothing to back off to
-        self.total[full], self.weight[full] = (table["total"] - lost)[full], 0.0
+        self.discount = good_turing([table[c].sum() for c in _KINDS])
+        self.total, self.weight = _weights([table[c] for c in _SUMS], self.discount)
         least = max(2, int(table["total"].sum()) // hot_pairs + 1)
 
         def hot(batches):
@@ -246,8 +272,220 @@ def good_turing(kinds: list[float]) -> np.ndarray:
     return out
 
 
+def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys ordered by bucket, the place of each key among them, and where buckets begin."""
+    distinct, place = np.unique(keys, return_inverse=True)
+    bucket = _bucket(distinct, buckets)
+    order = np.argsort(bucket, kind="stable")
+    at = np.empty(len(order), np.int64)
+    at[order] = np.arange(len(order))
+    return distinct[order], at[place], np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _two(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64)
+
+
+def _apart(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _found(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of keys in a sorted table, -1 for those it lacks."""
+    if not len(table):
+        return np.full(len(keys), -1, np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, at, -1)
+
+
+def _times(table: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = _found(table, keys)
+    return np.where(at >= 0, counts[at] if len(counts) else 0, 0).astype(np.int64)
+
+
+class Around:
+    """The words of a block outside the vocabulary, and what stands before and after each of them."""
+
+    def __init__(self, v: Vocabulary, block: Block, ids: np.ndarray):
+        before, after = np.empty_like(ids), np.empty_like(ids)
+        before[1:], after[:-1] = ids[:-1], ids[1:]
+        before[block.first], after[block.first + block.sizes - 1] = v.start, v.rare
+        self.at = np.flatnonzero(ids == v.rare)
+        self.word = block.hashes[block.local[self.at]]
+        self.doc = block.doc[self.at]
+        self.before, self.after = before[self.at], after[self.at]  # the number of the class for a rare word and for none
+        second = self.at[before[self.at] == v.rare]  # of two rare words
+        self.first_word, self.second_word = block.hashes[block.local[second - 1]], block.hashes[block.local[second]]
+        self.pair_doc = block.doc[second]
+
+
+def all_pairs(docs: DataFrame, vocab, words: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Tables ``kind, bucket, data`` of all training pairs.
+
+    Kind 0, buckets from 0: numbers of two frequent words, count. Kind 1, from ``buckets``: the words of a bucket,
+    their counts, and (place of a rare word, number of a frequent one), count: first for the pairs that end with
+    the rare word, then for those that begin with it. Kind 3: rare word, rare word, their pair's count, the second's count.
+    """
+    kinds = "kind int, bucket int, data binary"
+
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found) if found else ((), (), ()), (pa.int32(), pa.int32(), pa.binary()))], names=["kind", "bucket", "data"])
+
+    def count(batches):
+        v = vocab.value
+        for texts, in _blocks(batches):
+            block = Block(list(texts))
+            ids = v.ids(block)
+            keys = v.pairs(block, ids)
+            high, low = _apart(keys)
+            keys, n = np.unique(keys[(high != v.rare) & (low != v.rare)], return_counts=True)
+            out = [(0, k, packed(own, c)) for k, own, c in _dealt(keys, buckets, n.astype(np.uint32))]
+            around = Around(v, block, ids)
+            own, place, edges = _by_bucket(around.word, buckets)
+            sides = []
+            for partner in (around.before, around.after):
+                some = partner != v.rare
+                sides.append(np.unique(_two(place[some], partner[some]), return_counts=True))
+            seconds, at, second_edges = _by_bucket(around.second_word, buckets)
+            order = np.lexsort((around.first_word, at))
+            at, firsts = at[order], around.first_word[order]
+            new = np.flatnonzero(np.concatenate([np.ones(int(len(at) > 0), bool), (at[1:] != at[:-1]) | (firsts[1:] != firsts[:-1])]))
+            times = np.diff(np.append(new, len(at)))
+            at, firsts = at[new], firsts[new]
+            for k in np.flatnonzero(np.diff(edges)):
+                parts = [own[edges[k] : edges[k + 1]]]
+                for pairs, n in sides:
+                    i, j = np.searchsorted(pairs, edges[k : k + 2].astype(np.uint64) << np.uint64(32))
+                    parts += [pairs[i:j] - (np.uint64(edges[k]) << np.uint64(32)), n[i:j].astype(np.uint32)]
+                out.append((1, buckets + int(k), packed(*parts)))
+            for k in np.flatnonzero(np.diff(second_edges)):
+                a, b = second_edges[k : k + 2]
+                i, j = np.searchsorted(at, (a, b))
+                out.append((2, buckets + int(k), packed(seconds[a:b], (at[i:j] - a).astype(np.uint32), firsts[i:j], times[i:j].astype(np.uint32))))
+            yield rows(out)
+
+    def total(_, parts, table):
+        """Sums; the pairs of two rare words get the count of the second one and go on to the bucket of the first."""
+        given = [(k, b, unpacked(d.as_py())) for k, b, d in zip(parts.column("kind").to_pylist(), parts.column("bucket").to_pylist(), parts.column("data"))]
+        if not table.num_rows:
+            keys, n = summed(np.concatenate([d[0] for *_, d in given]), np.concatenate([d[1].astype(np.uint64) for *_, d in given]))
+            return pa.Table.from_batches([rows([(0, given[0][1], packed(keys, n))])])
+        number = table.column("bucket")[0].as_py()
+        keys, counts = unpacked(table.column("data")[0].as_py())
+        sides = [([np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]) for _ in range(2)]
+        two = [[np.zeros(0, np.uint64)] for _ in range(4)]
+        for kind, _, d in given:
+            place = np.searchsorted(keys, d[0])
+            if kind == 1:
+                for (pairs, times), own, n in zip(sides, d[1::2], d[2::2]):
+                    high, low = _apart(own)
+                    pairs.append(_two(place[high], low))
+                    times.append(n.astype(np.uint64))
+            else:
+                for held, own in zip(two, (d[2], d[0][d[1]], d[3].astype(np.uint64), counts[place][d[1]].astype(np.uint64))):
+                    held.append(own)
+        around = [x for pairs, times in sides for x in summed(np.concatenate(pairs), np.concatenate(times))]
+        out = [(1, number, packed(keys, counts, *around))]
+        first, second, n, seconds = (np.concatenate(x) for x in two)
+        order = np.lexsort((second, first))
+        first, second, n, seconds = first[order], second[order], n[order], seconds[order]
+        if len(first):
+            new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+            n = np.add.reduceat(n, new)
+            for k, own, *rest in _dealt(first[new], buckets, second[new], n, seconds[new]):
+                out.append((2, buckets + k, packed(own, *rest)))
+        return pa.Table.from_batches([rows(out)])
+
+    dealt = docs.select("text").mapInArrow(count, kinds)
+    placed = words.select((F.col("bucket") + buckets).alias("bucket"), "data")
+    found = staged(dealt.groupBy("bucket").cogroup(placed.groupBy("bucket")).applyInArrow(total, kinds), "pairs")
+
+    def together(_, parts):
+        held = [unpacked(d.as_py()) for d in parts.column("data")]
+        first, second, n, seconds = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((second, first))
+        return pa.Table.from_batches([rows([(3, parts.column("bucket")[0].as_py(), packed(first[order], second[order], n[order], seconds[order]))])])
+
+    return found.where("kind < 2"), staged(found.where("kind = 2").groupBy("bucket").applyInArrow(together, kinds), "rare-pairs")
+
+
+def _rest(pairs: DataFrame, rare: DataFrame, vocab) -> DataFrame:
+    """Sums by history of the pairs with rare words; rare histories are added up to one row, for the numbers of kinds."""
+
+    def run(batches):
+        v = vocab.value
+        for batch in batches:
+            for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data")):
+                d = unpacked(data.as_py())
+                if kind == 3:
+                    yield _sum_rows(np.full(len(d[0]), v.rare), d[2], (d[3] + ADD) / v.base_total)
+                else:
+                    place, before = _apart(d[2])
+                    yield _sum_rows(before, d[3], (d[1][place] + ADD) / v.base_total)
+                    _, after = _apart(d[4])
+                    yield _sum_rows(np.full(len(after), v.rare), d[5], v.base[after])
+
+    return pairs.where("kind = 1").unionByName(rare).mapInArrow(run, _SUM_ROWS)
+
+
+class Bucket:
+    """Counts, pairs and histories of the rare words of a bucket."""
+
+    def __init__(self, tables: dict[int, list[np.ndarray]], v: Vocabulary, m: Backoff):
+        none = np.zeros(0, np.uint64)
+        self.v, self.m = v, m
+        self.keys, self.counts, self.before, self.n_before, self.after, self.n_after = tables.get(1, [none] * 6)
+        first, second, n, seconds = tables.get(3, [none] * 4)
+        place, after = _apart(self.after)
+        own = np.searchsorted(self.keys, first)
+        spot, share = np.concatenate([place, own]), np.concatenate([v.base[after], (seconds + ADD) / v.base_total])
+        self.total, self.weight = _weights(_sums(spot, len(self.keys), np.concatenate([self.n_after, n]), share), m.discount)
+        self.seconds, at = np.unique(second, return_inverse=True)
+        self.second_base = np.zeros(len(self.seconds))
+        self.second_base[at] = np.log10((seconds + ADD) / v.base_total)
+        pairs = _two(own, at)
+        order = np.argsort(pairs)
+        self.pairs, self.n_pairs = pairs[order], n[order]
+
+    def _shares(self, n, total, weight, base):
+        """What a pair adds to the base score."""
+        seen = n > 0
+        kept = self.m.discount[np.minimum(n, DISCOUNTED + 1)]
+        out = np.log10(np.maximum(weight, 1e-300))
+        out[seen] = np.log10(kept[seen] * n[seen] / total[seen]) - base[seen]
+        return out
+
+    def answer(self, data: list[np.ndarray]) -> bytes:
+        words, place, doc, before, after, pair_place, seconds, pair_doc = data
+        v, m = self.v, self.m
+        spot = _found(self.keys, words)
+        known = spot >= 0
+        counts = np.where(known, self.counts[spot] if len(self.keys) else 0, 0)
+        total = np.where(known, self.total[spot] if len(self.keys) else 1.0, 1.0)
+        weight = np.where(known, self.weight[spot] if len(self.keys) else 1.0, 1.0)
+        base = np.log10((counts + ADD) / v.base_total)
+        more = np.zeros(len(place))
+        some = np.flatnonzero(before != v.rare)
+        at, history = place[some], before[some].astype(np.int64)
+        n = np.where(known[at], _times(self.before, self.n_before, _two(np.maximum(spot[at], 0), history)), 0)
+        more[some] += self._shares(n, m.total[history], m.weight[history], base[at])
+        some = np.flatnonzero(after != v.rare)
+        at, word = place[some], after[some].astype(np.int64)
+        n = np.where(known[at], _times(self.after, self.n_after, _two(np.maximum(spot[at], 0), word)), 0)
+        more[some] += self._shares(n, total[at], weight[at], np.log10(v.base[word]))
+        second = _found(self.seconds, seconds)
+        both = known[pair_place] & (second >= 0)
+        n = np.where(both, _times(self.pairs, self.n_pairs, _two(np.maximum(spot[pair_place], 0), np.maximum(second, 0))), 0)
+        pair_base = self.second_base[second] if len(self.seconds) else np.zeros(len(second))
+        pair_more = self._shares(n, total[pair_place], weight[pair_place], pair_base)
+        docs, at = np.unique(np.concatenate([doc, pair_doc]), return_inverse=True)
+        own, size = at[: len(doc)], len(docs)
+        sums = np.bincount(own, base[place], size), np.bincount(at, np.concatenate([more, pair_more]), size)
+        return packed(docs.astype(np.uint32), np.bincount(own, counts[place] > 0, size).astype(np.uint32), *sums)
+
+
 def score(docs: DataFrame, folds: int = 10, size: int = VOCABULARY) -> DataFrame:
-    """Every document's base score and its log10 probability under the model."""
+    """Every document's base score and its log10 probability under the model, whatever ``size`` of the cache."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold_of("doc_id", folds) == 0).alias("held_out"))
     train = rows.where(~F.col("held_out"))
@@ -255,60 +493,75 @@ def score(docs: DataFrame, folds: int = 10, size: int = VOCABULARY) -> DataFrame
     buckets = max(4, -(-int(letters) // 6 // KEYS_PER_BUCKET))  # about a word in six bytes
     words = word_counts(train, buckets)
     vocab = spark.sparkContext.broadcast(vocabulary(words, size))
-    pairs = pair_counts(train, vocab, buckets)
-    backoff = spark.sparkContext.broadcast(Backoff(pairs, vocab, HOT_PAIRS))
+    pairs, rare = all_pairs(train, vocab, words, buckets)
+    backoff = spark.sparkContext.broadcast(Backoff(pairs.where("kind = 0"), vocab, HOT_PAIRS, _rest(pairs, rare, vocab)))
 
     def ask(batches):
-        """Rows of kind 0: what a block knows of its documents; 1, 2: its questions about rare words and pairs."""
+        """Rows of kind 0: what a block knows of its documents; 1, 2: its questions about pairs of frequent words and about rare words."""
         from pyspark import TaskContext
 
         v, m = vocab.value, backoff.value
         for nth, (texts, doc_ids, held) in enumerate(_blocks(batches, "doc_id", "held_out")):
-            number = TaskContext.get().partitionId() << 24 | nth
+            part = TaskContext.get().partitionId()
+            number = part << 24 | nth
             block, n_docs = Block(list(texts)), len(texts)
             ids = v.ids(block)
             known = ids != v.rare
-            base, shares, n_known = np.zeros(n_docs), np.zeros(n_docs), np.zeros(n_docs, np.int64)
-            counted = v.counts[ids[known]]
-            base += np.bincount(block.doc[known], np.log10((counted + ADD) / v.base_total), n_docs)
-            n_known += np.bincount(block.doc[known], counted > 0, n_docs).astype(np.int64)
-            out = []
-            hashes, docs_of = block.hashes[block.local[~known]], block.doc[~known]
-            out += _questions(1, number, hashes, docs_of, buckets)
+            base = np.bincount(block.doc[known], np.log10(v.base)[ids[known]], n_docs)
+            n_known = np.bincount(block.doc[known], minlength=n_docs)
             keys = v.pairs(block, ids)
-            at = np.minimum(np.searchsorted(m.keys, keys), max(0, len(m.keys) - 1))
-            hot = m.keys[at] == keys if len(m.keys) else np.zeros(len(keys), bool)
-            shares += np.bincount(block.doc[hot], m.seen((keys[hot] >> np.uint64(32)).astype(np.int64), m.counts[at[hot]]), n_docs)
-            out += _questions(2, number, keys[~hot], block.doc[~hot], buckets)
+            history, word = _apart(keys)
+            both = known & (history != v.rare)
+            keys, history, word, doc = keys[both], history[both], word[both], block.doc[both]
+            at = _found(m.keys, keys)
+            hot = at >= 0
+            shares = np.bincount(doc[hot], m.seen(history[hot], m.counts[at[hot]]) - np.log10(v.base)[word[hot]], n_docs)
+            out = _questions(1, number, keys[~hot], doc[~hot], buckets)
+            around = Around(v, block, ids)
+            own, place, edges = _by_bucket(np.concatenate([around.word, around.first_word]), buckets)
+            order = np.argsort(place[: len(around.word)], kind="stable")
+            one, doc, before, after = (x[order] for x in (place[: len(around.word)], around.doc, around.before, around.after))
+            order = np.argsort(place[len(around.word) :], kind="stable")
+            two, second, pair_doc = (x[order] for x in (place[len(around.word) :], around.second_word, around.pair_doc))
+            for k in np.flatnonzero(np.diff(edges)):
+                a, b = edges[k : k + 2]
+                i, j = np.searchsorted(one, (a, b))
+                x, y = np.searchsorted(two, (a, b))
+                parts = (one[i:j] - a, doc[i:j], before[i:j], after[i:j], two[x:y] - a)
+                out.append((2, buckets + int(k), number, packed(own[a:b], *(p.astype(np.uint32) for p in parts), second[x:y], pair_doc[x:y].astype(np.uint32))))
             facts = (np.array([d is None for d in doc_ids], np.uint8), np.array([d or 0 for d in doc_ids], np.int64), np.array(held, np.uint8),
                      block.sizes, n_known, base, shares)
-            out.append((0, 0, number, packed(*facts)))
+            out.append((0, 2 * buckets + part, number, packed(*facts)))
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["kind", "bucket", "block", "data"])
 
-    asked = staged(rows.mapInArrow(ask, "kind int, bucket int, block long, data binary"), "questions")
-
-    def answer_words(_, questions, table):
-        v = vocab.value
-        return _answers(questions, table, lambda keys, n: (n > 0, np.log10((n + ADD) / v.base_total), np.log10((n + ADD) / v.rare_total)))
-
-    def answer_pairs(_, questions, table):
+    def answer(_, questions, tables):
         v, m = vocab.value, backoff.value
-
-        def share(keys, n):
-            history, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            out = m.unseen(v, history, word)
-            out[n > 0] = m.seen(history[n > 0], n[n > 0])
-            return np.zeros(len(keys)), np.zeros(len(keys)), out
-
-        return _answers(questions, table, share)
-
-    def answers(kind: int, table: DataFrame, how) -> DataFrame:
-        own = asked.where(F.col("kind") == kind).select("bucket", "block", "data")
-        return own.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(how, "block long, data binary")
-
-    back = answers(1, words, answer_words).unionByName(answers(2, pairs, answer_pairs))
-    facts = asked.where("kind = 0").select("block", "data", F.lit(0).alias("kind")).unionByName(back.withColumn("kind", F.lit(1)))
+        held = {k: unpacked(d.as_py()) for k, d in zip(tables.column("kind").to_pylist(), tables.column("data"))}
+        kinds = questions.column("kind").to_pylist()
+        if not kinds:
+            return pa.table({"kind": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
+        own = Bucket(held, v, m) if 2 in kinds else None
+        keys, counts = held.get(0, [np.zeros(0, np.uint64)] * 2)
+
+        def pair_shares(data) -> bytes:
+            asked, times, docs = data
+            history, word = _apart(asked)
+            n = _times(keys, counts, asked)
+            out = np.log10(np.maximum(m.weight[history], 1e-300))
+            out[n > 0] = m.seen(history[n > 0], n[n > 0]) - np.log10(v.base)[word[n > 0]]
+            some, spot = np.unique(docs, return_inverse=True)
+            more = np.bincount(spot, np.repeat(out, times), len(some))
+            return packed(some.astype(np.uint32), np.zeros(len(some), np.uint32), np.zeros(len(some)), more)
+
+        out = []
+        for kind, data in zip(kinds, questions.column("data")):
+            data = data.as_py()
+            out.append(data if kind == 0 else pair_shares(unpacked(data)) if kind == 1 else own.answer(unpacked(data)))
+        return pa.table({"kind": pa.array([int(k > 0) for k in kinds], pa.int32()), "block": questions.column("block"), "data": pa.array(out, pa.binary())})
+
+    asked = rows.mapInArrow(ask, "kind int, bucket int, block long, data binary")
+    facts = asked.groupBy("bucket").cogroup(pairs.unionByName(rare).groupBy("bucket")).applyInArrow(answer, "kind int, block long, data binary")
     tokens = vocab.value.tokens
 
     def together(_, rows):
@@ -323,10 +576,11 @@ def score(docs: DataFrame, folds: int = 10, size: int = VOCABULARY) -> DataFrame
                 for k in range(3):
                     sums[k][values[0]] += values[k + 1]
         null, doc_id, held, n_tokens, n_known, base, shares = known
+        base = base + sums[1]
         return pa.table({
             "doc_id": pa.array(doc_id, pa.int64(), mask=null.astype(bool)), "held_out": pa.array(held.astype(bool)), "n_tokens": pa.array(n_tokens, pa.int64()),
             "n_known": pa.array(n_known + sums[0].astype(np.int64), pa.int64()), "train_tokens": pa.array(np.full(len(null), tokens), pa.int64()),
-            "base_score": pa.array(base + sums[1], pa.float64()), "score": pa.array(shares + sums[2], pa.float64())})
+            "base_score": pa.array(base, pa.float64()), "score": pa.array(base + shares + sums[2], pa.float64())})
 
     return facts.groupBy("block").applyInArrow(together, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
@@ -344,18 +598,3 @@ def _questions(kind: int, number: int, keys: np.ndarray, docs: np.ndarray, bucke
         distinct, times = np.unique(keys[own], return_counts=True)
         found.append((kind, int(k), number, packed(distinct, times.astype(np.uint32), docs[own].astype(np.uint32))))
     return found
-
-
-def _answers(questions: pa.Table, table: pa.Table, values) -> pa.Table:
-    """For each block's question the documents' sums of three values by key and count."""
-    held, counts = unpacked(table.column("data")[0].as_py()) if table.num_rows else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-    blocks, out = [], []
-    for block, data in zip(questions.column("block").to_pylist(), questions.column("data")):
-        keys, times, docs = unpacked(data.as_py())
-        at = np.minimum(np.searchsorted(held, keys), max(0, len(held) - 1))
-        n = np.where(held[at] == keys, counts[at], 0).astype(np.int64) if len(held) else np.zeros(len(keys), np.int64)
-        some, spot = np.unique(docs, return_inverse=True)
-        sums = [np.bincount(spot, np.repeat(x, times), len(some)) for x in values(keys, n)]
-        blocks.append(block)
-        out.append(packed(some.astype(np.uint32), sums[0].astype(np.uint32), sums[1], sums[2]))
-    return pa.table({"block": pa.array(blocks, pa.int64()), "data": pa.array(out, pa.binary())})
