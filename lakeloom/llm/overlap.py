@@ -15,6 +15,10 @@ of the matrix with its transpose holds the overlap of every pair. It is never co
   discards pairs below the size-derived bound and passes on a spanning forest of the rest. That keeps
   every component, and bounds what a task holds by two blocks and what it returns by their rows.
 
+``first_of_each`` starts from SimHash: distinct fingerprints of all documents that a walk of their trie finds
+within BUDGET bits are judged on their sets, and what that links needs no product. The product then
+links the rest, as fingerprints of sets that are as alike as ``least`` often differ in more bits.
+
 Shingles and sets are known by 64-bit hashes. Null text is empty; a document without words links with
 nothing, not even with another one. Rows with a null doc_id take part but name no component unless no
 other id is there (then null). Repeated rows have equal sets. Other columns are ignored; an empty table
@@ -28,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from lakeloom.llm.common import discard, giving_back, recorded, staged
-from lakeloom.llm.simhash import SEED, components, forest
+from lakeloom.llm.common import discard, give_back, giving_back, recorded, staged
+from lakeloom.llm.simhash import SEED, components, fingerprint, forest, near_links
 
 WORDS, LEAST = 4, 85
 #: Shingles and rows of a block.
 CAP, ROWS = 1 << 18, 512
+#: Rows of a product after which a worker returns memory.
+LARGE = 256
 #: Sets below this size show all columns at first, larger ones those with small hashes: SHOWN times what can be spared.
 SMALL, SHOWN = 64, 5 / 3
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -110,21 +116,23 @@ def _limit(least: int) -> int:
     return min(1 << 64, int(SHOWN * (100 - least) / 100 * 2**64))
 
 
-def _prints(docs: DataFrame, words: int, least: int) -> DataFrame:
-    """Of every row its set's hash and size, and the columns that are shown at first."""
+def _prints(docs: DataFrame, words: int, least: int, simhash: bool) -> DataFrame:
+    """Of every row its set's hash and size, its SimHash fingerprint (null if not asked for), and the columns that are shown at first."""
     last = np.uint64(_limit(least) - 1)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_id(F.col("text")).alias("tid"), "text")
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            sets = [shingle_set(t, words) for t in texts]
+            simple = pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64), pa.int64()) if simhash else pa.nulls(len(texts), pa.int64())
             shown = [s if len(s) < SMALL else s[: np.searchsorted(s, last, "right")] for s in sets]
             held = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, shown)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *shown]).view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tid"), pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()), held],
-                names=["doc_id", "tid", "fp", "n", "shown"])
+                [batch.column("doc_id"), batch.column("tid"), pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()), simple, held],
+                names=["doc_id", "tid", "fp", "n", "simhash", "shown"])
 
-    return rows.mapInArrow(giving_back(run), rows.select("doc_id", "tid").schema.add("fp", "long").add("n", "long").add("shown", ArrayType(LongType())))
+    return rows.mapInArrow(giving_back(run), rows.select("doc_id", "tid").schema.add("fp", "long").add("n", "long").add("simhash", "long").add("shown", ArrayType(LongType())))
 
 
 def _text_id(text: Column) -> Column:
@@ -157,7 +165,7 @@ def _rows(docs: DataFrame, able: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(map(set_id, sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()), held], names=["fp", "n", "cols"])
 
     kind = able.select("fp", "n").schema.add("cols", ArrayType(LongType()))
-    return staged(found.mapInArrow(run, kind).dropDuplicates(["fp"]), "rows")
+    return staged(found.mapInArrow(giving_back(run), kind).dropDuplicates(["fp"]), "rows")
 
 
 def _prefixes(rows: DataFrame, least: int) -> DataFrame:
@@ -189,6 +197,9 @@ def _products(members: DataFrame, key: list[str], rows: DataFrame, least: int) -
         linked &= (top[a][:, None] | top[b][None, :]) & (label[a][:, None] != label[b][None, :])
         i, j = np.nonzero(np.triu(linked, 1) if len(blocks) == 1 else linked)
         ends = np.array(forest(len(fp), [(a[i], b[j])]), np.int64).reshape(-1, 2)
+        if len(fp) >= LARGE:
+            del linked, i, j, sets
+            give_back()
         return pa.table({"u": pa.array(fp[ends[:, 0]], pa.int64()), "v": pa.array(fp[ends[:, 1]], pa.int64())})
 
     whole = members.join(rows.select("fp", "cols"), "fp")
@@ -201,20 +212,47 @@ def _parts(members: DataFrame, by: list[str], cap: int, most: int) -> DataFrame:
     return members.join(sizes, by)
 
 
-def set_links(docs: DataFrame, able: DataFrame, words: int, least: int, cap: int, most: int) -> DataFrame:
-    """Links ``u, v`` that connect all sets whose Jaccard similarity is ``least`` percent or more, among those that can have any."""
-    rows = _rows(docs, able, words)
-    prefix = staged(_prefixes(rows, least), "prefixes")
-    pivots = prefix.groupBy("col").agg(F.min(F.struct("fp", "n")).alias("pivot"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    members = staged(prefix.join(pivots.drop("times"), "col"), "members")
+def _near_prints(prints: DataFrame) -> DataFrame:
+    """Sets ``fp, n`` and the ``pivot`` to which SimHash links them: one set of their fingerprint, and of each that is near."""
+    named = staged(prints.where("n > 0").select("fp", "n", "simhash").distinct(), "fingerprints")
+    pivots = staged(named.groupBy("simhash").agg(F.min(F.struct("fp", "n")).alias("pivot")), "pivots")
+    links = near_links(pivots.select(F.col("simhash").alias("fp")))
+    one, two = (pivots.select(F.col("simhash").alias(end), F.col("pivot").alias(name)) for end, name in (("u", "pivot"), ("v", "other")))
+    across = links.join(one, "u").join(two, "v").select("pivot", F.col("other.fp").alias("fp"), F.col("other.n").alias("n"))
+    return staged(named.join(pivots, "simhash").select("pivot", "fp", "n").unionByName(across).distinct(), "near")
 
+
+def _stars(stars: DataFrame, rows: DataFrame, least: int, cap: int, most: int) -> DataFrame:
+    """Links of sets ``fp`` with their ``pivot``."""
     alike = f"n * 100 >= pivot.n * {least} and pivot.n * 100 >= n * {least}"
-    stars = _parts(members.where("fp <> pivot.fp").where(alike).select("pivot", "fp", "n").distinct(), ["pivot"], cap, most)
+    stars = _parts(stars.where("fp <> pivot.fp").where(alike).select("pivot", "fp", "n").distinct(), ["pivot"], cap, most)
     chunk = F.pmod(F.xxhash64("fp"), F.col("k"))
     rays = stars.select("pivot", "fp", "n", chunk.alias("chunk"), F.lit(1).alias("block"), F.lit(True).alias("top"), F.col("fp").alias("label"))
     centres = rays.select("pivot", "chunk").distinct().select(
         "pivot", F.col("pivot.fp").alias("fp"), F.col("pivot.n").alias("n"), "chunk", F.lit(0).alias("block"), F.lit(True).alias("top"), F.col("pivot.fp").alias("label"))
-    links = staged(_products(rays.unionByName(centres), ["pivot", "chunk"], rows, least), "links")
+    return staged(_products(rays.unionByName(centres), ["pivot", "chunk"], rows, least), "links")
+
+
+def set_links(docs: DataFrame, able: DataFrame, words: int, least: int, cap: int, most: int, near: DataFrame | None = None) -> DataFrame:
+    """Links ``u, v`` that connect all sets whose Jaccard similarity is ``least`` percent or more, among those that can have any.
+
+    Pairs in ``near`` are judged first; what they connect is not compared again.
+    """
+    rows = _rows(docs, able, words)
+    known = None if near is None else _stars(near, rows, least, cap, most)
+    prefix = staged(_prefixes(rows, least), "prefixes")
+    pivots = prefix.groupBy("col").agg(F.min(F.struct("fp", "n")).alias("pivot"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    members = staged(prefix.join(pivots.drop("times"), "col"), "members")
+
+    stars = members.select("pivot", "fp", "n")
+    if known is not None:
+        own = components(known)
+        one, two = (own.select(F.col("node").alias(f"{side}_node"), F.col("root").alias(f"{side}_root")) for side in ("ray", "centre"))
+        joined = stars.join(one, F.col("fp") == F.col("ray_node"), "left").join(two, F.col("pivot.fp") == F.col("centre_node"), "left")
+        stars = joined.where("coalesce(ray_root, fp) <> coalesce(centre_root, pivot.fp)").select("pivot", "fp", "n")
+    links = _stars(stars, rows, least, cap, most)
+    if known is not None:
+        links = known.unionByName(links)
 
     roots = components(links)
     placed = members.join(roots, members["fp"] == roots["node"], "left").select("col", "pivot", "fp", "n", F.coalesce("root", "fp").alias("label"))
@@ -232,16 +270,16 @@ def set_links(docs: DataFrame, able: DataFrame, words: int, least: int, cap: int
     return links.unionByName(staged(more, "links"))
 
 
-def near_sets(docs: DataFrame, words: int, least: int, *, cap: int = CAP, most: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, tid, fp, n`` of every row (its text's and its set's hash, null without words, and size), and ``fp, root, component_id`` (one set's hash and the smallest doc_id for all that links reach)."""
+def near_sets(docs: DataFrame, words: int, least: int, *, cap: int = CAP, most: int = ROWS, simhash: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, tid, fp, n, simhash`` of every row (its text's and its set's hash, null without words, size, and fingerprint if asked for), and ``fp, root, component_id`` (one set's hash and the smallest doc_id for all that links reach)."""
     with recorded() as made:
-        shown = staged(_prints(docs, words, least), "shown")
+        shown = staged(_prints(docs, words, least, simhash), "shown")
     prints = staged(shown.drop("shown"), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("first")
     sets = staged(prints.where("n > 0").groupBy("fp").agg(first, F.max("n").alias("n")), "sets")
     able = staged(_able(shown, sets, least), "able")
     discard(docs.sparkSession, made)  # the columns shown at first are the largest of these tables
-    roots = components(set_links(docs, able, words, least, cap, most))
+    roots = components(set_links(docs, able, words, least, cap, most, _near_prints(prints) if simhash else None))
     named = sets.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.col("first.doc_id").alias("doc_id"), F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return prints, named.join(smallest, "root").select("fp", "root", "component_id")
@@ -260,7 +298,7 @@ def first_of_each(docs: DataFrame, words: int, least: int) -> DataFrame:
     Documents without words are a group. A null doc_id stays only where the group has no other; rows that
     agree in doc_id and text are one document and stay together.
     """
-    prints, groups = near_sets(docs, words, least)
+    prints, groups = near_sets(docs, words, least, simhash=True)
     kept = prints.join(groups.select("fp", "root"), "fp", "left").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("first"))
     kept = staged(kept.select(F.col("first.doc_id").alias("__id"), F.col("first.tid").alias("__tid")), "kept")
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__id"]) & (_text_id(docs["text"]) == kept["__tid"]), "left_semi")

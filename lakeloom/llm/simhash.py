@@ -24,11 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakeloom.llm.common import staged
+from lakeloom.llm.common import give_back, staged
 
 SEED, WORDS, BUDGET, TURNS = 42, 3, 3, 2
 #: Fingerprints that a task walks at once, and when a node pair is dealt again.
 LEAF, HOT = 20_000, 60_000
+#: Fingerprints of a walk after which a worker returns memory.
+LARGE = 4_000
 _STEP = 4  # bits by which a hot pair moves down
 
 
@@ -199,6 +201,8 @@ def _edges(rows: DataFrame, key: list[str], budget: int, turns: int) -> DataFram
         if turn:
             values = (values << back) | (values >> np.uint64(turn * width))
         ends = np.array(pairs, np.int64).reshape(-1, 2)
+        if len(values) >= LARGE:
+            give_back()
         u, v = values[ends[:, 0]].view(np.int64), values[ends[:, 1]].view(np.int64)
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
