@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from lakeloom.sinks.versions import _files
@@ -35,8 +36,6 @@ def deliver_batches(records: DataFrame, send: Callable[[str, list[Row]], None],
     """
     spark = records.sparkSession
     sent, failed, least = 0, 0, None
-    total = _open(spark, records, ledger).agg(F.count_distinct(F.struct(*KEYS))).first()[0]
-    rounds = max(1, -(-total // per_round))
     names = records.columns
 
     def take(key, table):
@@ -48,12 +47,18 @@ def deliver_batches(records: DataFrame, send: Callable[[str, list[Row]], None],
         one = [[k.as_py()] for k in key] + [[table.num_rows], [error]]
         return pa.table({f.name: pa.array(v, pa.string() if isinstance(f.dataType, T.StringType) else pa.int64()) for f, v in zip(LEDGER, one)})
 
-    for nth in range(rounds):
-        mine = _open(spark, records, ledger).where(F.pmod(F.xxhash64(*KEYS), F.lit(rounds)) == nth)
-        folder = f"{ledger.rstrip('/')}/{uuid.uuid4().hex}"
-        mine.select(*names).groupBy(*KEYS).applyInArrow(take, LEDGER).write.parquet(folder)
-        done = spark.read.schema(LEDGER).parquet(folder).agg(F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull()), F.min("error")).first()
-        sent, failed, least = sent + done[0], failed + done[1], done[2] or least
+    records = records.persist(StorageLevel.MEMORY_AND_DISK)  # numbered once, however many rounds there are
+    try:
+        total = _open(spark, records, ledger).agg(F.count_distinct(F.struct(*KEYS))).first()[0]
+        rounds = max(1, -(-total // per_round))
+        for nth in range(rounds):
+            mine = _open(spark, records, ledger).where(F.pmod(F.xxhash64(*KEYS), F.lit(rounds)) == nth)
+            folder = f"{ledger.rstrip('/')}/{uuid.uuid4().hex}"
+            mine.select(*names).groupBy(*KEYS).applyInArrow(take, LEDGER).write.parquet(folder)
+            done = spark.read.schema(LEDGER).parquet(folder).agg(F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull()), F.min("error")).first()
+            sent, failed, least = sent + done[0], failed + done[1], done[2] or least
+    finally:
+        records.unpersist()
     if failed:
         raise DeliveryFailed(f"{failed} batches were not taken, such as: {least}")
     return sent

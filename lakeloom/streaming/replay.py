@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -51,22 +52,25 @@ def start_replay(
     letters = stream_dead_letters(spark, prefix, **options)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = replay_records(batch).drop("payload")
-        records = decoded.filter(F.col("data").isNotNull()).drop(POINTER)
-        lost = decoded.filter(F.col("data").isNull()).select(
-            POINTER, "file", "block", "feed", F.lit("payload: not base64 JSON").alias("error"), F.array(F.lit("payload: not base64 JSON")).alias("errors"))
-        for rows, path in ((records, out), (lost, f"{out.rstrip('/')}_rejected")):
-            (
-                rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)})
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("stream", "batch_id", "feed")
-                .parquet(path)
-            )
-        if deliver is not None:
-            deliver(records, batch_id)
-        if send is not None:
-            deliver_batches(in_batches(records), send, ledger or f"{out.rstrip('/')}_sent")
+        decoded = replay_records(batch).drop("payload").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            records = decoded.filter(F.col("data").isNotNull()).drop(POINTER)
+            lost = decoded.filter(F.col("data").isNull()).select(
+                POINTER, "file", "block", "feed", F.lit("payload: not base64 JSON").alias("error"), F.array(F.lit("payload: not base64 JSON")).alias("errors"))
+            for rows, path in ((records, out), (lost, f"{out.rstrip('/')}_rejected")):
+                (
+                    rows.withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id)})
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("stream", "batch_id", "feed")
+                    .parquet(path)
+                )
+            if deliver is not None:
+                deliver(records, batch_id)
+            if send is not None:
+                deliver_batches(in_batches(records), send, ledger or f"{out.rstrip('/')}_sent")
+        finally:
+            decoded.unpersist()
 
     return (
         letters.writeStream.foreachBatch(write)
